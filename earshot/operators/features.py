@@ -18,7 +18,8 @@ SCALARS = ["loudness_std", "loudness_mean", "duration", "artist_hotttnesss", "ar
 
 def words(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
     """(key, word): the blank-separated lower-case words of whole texts."""
-    split = F.explode(F.split(F.lower(text), " ")).alias("word")
+    # The outer form is split once; the inner one is split again by a filter Spark derives from it.
+    split = F.explode_outer(F.split(F.lower(text), " ")).alias("word")
     return texts.select(key, split).where(F.col("word") != "")
 
 
@@ -47,9 +48,9 @@ def term_vectors(
     At most ``size`` entries meet in one row, because repeated terms were counted before.
     """
     known = counts.join(F.broadcast(vocab.select(term, "term_index")), term, "left")
-    entry = F.when(F.col("term_index").isNotNull(), F.struct("term_index", F.col("tf").cast("double")))
+    entry = F.when(F.col("term_index").isNotNull(), F.struct("term_index", F.col("tf").cast("double").alias("tf")))
     rows = known.groupBy(item).agg(F.array_sort(F.collect_list(entry)).alias("entries"))
-    return rows.select(item, sparse_vector(F.col("entries"), size).alias(output))
+    return rows.select(item, sparse_vector(F.col("entries.term_index"), F.col("entries.tf"), size).alias(output))
 
 
 def frequent_terms(terms: DataFrame, term: str, at_least: int = FREQUENT) -> DataFrame:

@@ -38,7 +38,7 @@ MAX_HELD_ROWS = 4_000_000  # queries * k that one task may hold in the ``queries
 QUERY_BLOCK = 16_384
 ITEM_BLOCK = 65_536
 SCORE_CELLS = 4 << 20  # scores in memory at a time
-PAIRS_PER_TASK = 2_000_000_000
+PAIRS_PER_TASK = 50_000_000
 
 
 def top_k(
@@ -76,12 +76,12 @@ def top_k(
     else:
         found = _grid(q, x, n_q, n_x, metric, bool(cell))
 
-    if cell:
-        found = found.groupBy("q", "x").agg(F.min("cost").alias("cost"), F.first("k").alias("k"))
     if cell or layout != "items":
         best = Window.partitionBy("q").orderBy("cost", "x")
-        found = found.withColumn("rank", F.row_number().over(best))
+        found = found.withColumn("rank", F.dense_rank().over(best))  # copies of a pair rank alike
     found = found.where(F.col("rank") <= (F.col("k") if own_k else F.lit(k)))
+    if cell:  # partitioned by q already, so this does not shuffle again
+        found = found.groupBy("q", "x").agg(F.first("cost").alias("cost"), F.first("rank").alias("rank"))
     score = -F.col("cost") if metric == "dot" else F.col("cost")
     return found.select(
         F.col("q").alias(query_id), F.col("x").alias(item_id), score.alias("score"), "rank"
@@ -119,15 +119,14 @@ def _scan(side: DataFrame, small: DataFrame, metric: str, broadcast_queries: boo
         other = _by_cell(held.value)
         if not broadcast_queries:
             for batch in batches:
-                part = _by_cell(pa.Table.from_batches([batch]))
-                yield from _emit(_search(part, other, metric))
+                found = _search(_by_cell(pa.Table.from_batches([batch])), other, metric)
+                yield from _emit([_best(found)] if has_cells else found)
             return
         kept = None
         for batch in batches:
             found = _search(other, _by_cell(pa.Table.from_batches([batch])), metric)
             kept = _best(found if kept is None else [kept, *found])
-        if kept is not None:
-            yield from _emit([kept])
+        yield from _emit([kept])
 
     return side.mapInArrow(score, FOUND)
 
@@ -260,4 +259,5 @@ def _table(found) -> pa.Table:
 
 def _emit(found):
     for part in found:
-        yield from _table(part).to_batches(max_chunksize=65_536)
+        if part is not None:
+            yield from _table(part).to_batches(max_chunksize=65_536)

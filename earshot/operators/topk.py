@@ -158,8 +158,6 @@ def _grid(q: DataFrame, x: DataFrame, n_q: int, n_x: int, metric: str, has_cells
     key = ["cell", "qb", "xb"]
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows or not right.num_rows:
-            return _table(None)
         return _table(_best(_search(_by_cell(left), _by_cell(right), metric)))
 
     drop = ["q_blocks", "x_blocks"]
@@ -173,6 +171,8 @@ def _grid(q: DataFrame, x: DataFrame, n_q: int, n_x: int, metric: str, has_cells
 
 def _by_cell(table: pa.Table) -> dict:
     """cell -> (ids, k, matrix); ``k`` is None for the item side."""
+    if not table.num_rows:
+        return {}
     table = table.combine_chunks()
     column = table.column("vec").combine_chunks()
     matrix = column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)

@@ -1,0 +1,98 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from earshot.operators import ann
+from earshot.plans.search import compare_methods
+
+
+@pytest.fixture(scope="module")
+def vectors(spark):
+    rng = np.random.default_rng(5)
+    centres = rng.normal(size=(6, 8)) * 3
+    points = centres[rng.integers(0, 6, 300)] + rng.normal(size=(300, 8))
+    points[100:200] = points[4]  # a third of all vectors are copies
+    rows = [(i, [float(x) for x in p]) for i, p in enumerate(points)]
+    return spark.createDataFrame(rows, "id bigint, features array<double>").cache()
+
+
+@pytest.fixture(scope="module")
+def queries(vectors):
+    return vectors.where("id % 5 = 0").withColumnRenamed("id", "query_id").cache()
+
+
+@pytest.fixture(scope="module")
+def index(vectors):
+    centres = ann.fit_cells(vectors, 6).cache()
+    return centres, ann.assign_cells(vectors, centres).cache()
+
+
+def recall(approx, exact):
+    return ann.recall_per_query(approx, exact).agg(F.avg("recall")).first()[0]
+
+
+def test_exact_search_includes_the_query(queries, vectors):
+    rows = ann.exact_neighbours(queries, vectors, 3).collect()
+    nearest = {r.query_id: r for r in rows if r["rank"] == 1}
+    assert all(r.score == 0 for r in nearest.values())
+    assert len(rows) == 3 * queries.count()
+
+
+def test_every_vector_has_one_cell_and_it_is_nearest(vectors, index):
+    centres, indexed = index
+    middle = {r.cell: np.array(r.features) for r in centres.collect()}
+    rows = indexed.collect()
+    assert len(rows) == vectors.count()
+    for r in rows:
+        distance = {c: ((np.array(r.features) - m) ** 2).sum() for c, m in middle.items()}
+        assert distance[r.cell] == pytest.approx(min(distance.values()))
+
+
+def test_recall_grows_with_probes_and_reaches_one(queries, vectors, index):
+    centres, indexed = index
+    exact = ann.exact_neighbours(queries, vectors, 10).cache()
+    found = [recall(ann.cell_search(queries, indexed, centres, 10, n), exact) for n in (1, 2, 6)]
+    assert 0 < found[0] <= found[1] <= found[2] == 1
+
+
+def test_sweep_equals_separate_searches(queries, index):
+    centres, indexed = index
+    sweep = ann.cell_sweep(queries, indexed, centres, 4, 1, [1, 3])
+    for m in (1, 3):
+        alone = ann.cell_search(queries, indexed, centres, 4 * m, m)
+        part = sweep.where(F.col("multiplier") == m).select("query_id", "id", "rank")
+        assert sorted(map(tuple, part.collect())) == sorted(map(tuple, alone.select("query_id", "id", "rank").collect()))
+
+
+def test_buckets_search_is_exact_when_all_share_one(queries, vectors):
+    exact = ann.exact_neighbours(queries, vectors, 10)
+    wide = ann.fit_buckets(vectors, bucket_length=1e6, tables=1)
+    # One huge bucket still splits at zero; two tables of different directions cover most pairs.
+    narrow = ann.fit_buckets(vectors, bucket_length=2.0, tables=6)
+    for model, least in ((wide, 0.3), (narrow, 0.5)):
+        found = ann.bucket_search(model, queries, ann.hash_buckets(model, vectors), 10)
+        assert least < recall(found, exact) <= 1
+        assert found.groupBy("query_id", "id").count().where("count > 1").count() == 0
+
+
+def test_recall_definitions(spark):
+    schema = "query_id bigint, id bigint, rank int"
+    exact = spark.createDataFrame([(1, i, i) for i in range(1, 5)] + [(2, i, i) for i in range(1, 5)], schema)
+    approx = spark.createDataFrame([(1, 3, 1), (1, 1, 2), (1, 9, 3), (1, 2, 4)], schema)
+    per_query = {r.query_id: (r.found, r.wanted, r.recall) for r in ann.recall_per_query(approx, exact).collect()}
+    assert per_query == {1: (3, 4, 0.75), 2: (0, 4, 0.0)}
+    fixed = ann.overfetch_recall(approx, exact, 2, [1, 2]).where("query_id = 1").orderBy("multiplier").collect()
+    assert [r.recall for r in fixed] == [0.5, 1.0]  # the two nearest, among 2 and 4 fetched
+    growing = ann.overfetch_recall(approx, exact, 2, [1, 2], exact_k="k*m").where("query_id = 1").orderBy("multiplier")
+    assert [r.recall for r in growing.collect()] == [0.5, 0.75]
+    with pytest.raises(ValueError):
+        ann.overfetch_recall(approx, exact, 2, [1], exact_k="all")
+    means = {r.multiplier: (r.queries, r.recall) for r in ann.mean_recall(ann.overfetch_recall(approx, exact, 2, [1, 2])).collect()}
+    assert means == {1: (2, 0.25), 2: (2, 0.5)}
+
+
+def test_method_comparison_table(vectors):
+    rows = compare_methods(vectors, queries=20, k=5, multipliers=(1, 3), cells=6, nprobe=2, bucket_length=3.0, tables=4).collect()
+    assert {(r.method, r.multiplier) for r in rows} == {(m, n) for m in ("exact", "cells", "buckets") for n in (1, 3)}
+    assert all(r.queries == 20 and 0 < r.recall <= 1 and r.queries_per_second > 0 for r in rows)
+    assert all(r.recall == 1 for r in rows if r.method == "exact")

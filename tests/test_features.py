@@ -1,0 +1,74 @@
+import math
+
+import pytest
+from pyspark.ml.feature import CountVectorizer
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import functions as F
+
+from earshot.operators import features
+
+LISTS = {1: ["z", "a", "q"], 2: ["z", "b"], 3: ["a", "b", "b"], 4: ["q"], 5: ["solo", "solo"]}
+
+
+@pytest.fixture(scope="module")
+def counts(spark):
+    rows = [(i, t) for i, terms in LISTS.items() for t in terms]
+    return features.term_counts(spark.createDataFrame(rows, "item_index int, tag string"), "item_index", "tag")
+
+
+def test_vocabulary_order_and_minimum(counts):
+    vocab = features.vocabulary(counts, "tag").orderBy("term_index").collect()
+    assert [r.tag for r in vocab] == ["b", "a", "q", "z"]
+    assert [(r.total, r["items"]) for r in vocab] == [(3, 2), (2, 2), (2, 2), (2, 2)]
+    assert [r.tag for r in features.vocabulary(counts, "tag", max_terms=2).orderBy("term_index").collect()] == ["b", "a"]
+    assert features.vocabulary(counts, "tag", min_items=1).count() == 5
+
+
+def test_term_vectors_keep_items_without_vocabulary(counts):
+    vectors = features.term_vectors(counts, features.vocabulary(counts, "tag"), "item_index", "tag", "v", 4)
+    found = {r.item_index: r.v.toArray().tolist() for r in vectors.collect()}
+    assert found == {1: [0, 1, 1, 1], 2: [1, 0, 0, 1], 3: [2, 1, 0, 0], 4: [0, 0, 1, 0], 5: [0, 0, 0, 0]}
+
+
+def test_agrees_with_count_vectorizer(spark, counts):
+    lists = spark.createDataFrame(list(LISTS.items()), "item_index int, tags array<string>")
+    model = CountVectorizer(inputCol="tags", outputCol="v", vocabSize=5000, minDF=2.0).fit(lists)
+    theirs = {
+        (r.item_index, model.vocabulary[i], v) for r in model.transform(lists).collect() for i, v in enumerate(r.v.toArray()) if v
+    }
+    vocab = features.vocabulary(counts, "tag")
+    ours = {(r.item_index, r.tag, float(r.tf)) for r in counts.join(vocab, "tag").collect()}
+    assert ours == theirs
+
+
+def test_words_of_whole_texts(spark):
+    long = " ".join(["Abc"] * 30000) + " end"
+    found = features.words(spark.createDataFrame([(1, long), (2, None), (3, "  "), (4, "É b")], "k int, text string"), "k")
+    assert {(r.k, r.word, r.n) for r in found.groupBy("k", "word").agg(F.count("*").alias("n")).collect()} == {
+        (1, "abc", 30000), (1, "end", 1), (4, "é", 1), (4, "b", 1)
+    }
+
+
+def test_frequent_terms_and_marks(spark):
+    tags = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b")], "item_index int, tag string")
+    frequent = features.frequent_terms(tags, "tag", at_least=2)
+    assert [(r.tag, r.n) for r in frequent.collect()] == [("a", 2)]
+    marked = features.mark_frequent(tags, frequent, "tag")
+    assert sorted((r.item_index, r.is_frequent) for r in marked.collect()) == [(1, True), (2, True), (3, False)]
+
+
+def test_assembly_drops_missing_and_scaling_ignores_the_mean(spark):
+    rows = [(1.0, 5.0), (3.0, 5.0), (float("nan"), 5.0), (None, 5.0)]
+    raw = features.assemble(spark.createDataFrame(rows, "x double, y double"), ["x", "y"])
+    scaled = features.fit_scaler(raw).transform(raw).select(vector_to_array("features").alias("v")).collect()
+    assert [r.v for r in scaled] == [pytest.approx([1 / math.sqrt(2), 0]), pytest.approx([3 / math.sqrt(2), 0])]
+
+
+def test_input_columns(spark):
+    df = spark.createDataFrame([(1, 1.0, 1.0, 1.0)], "item int, timbre_00 double, other double, timbre_01 double")
+    assert features.input_columns(df) == ["timbre_00", "timbre_01", *features.SCALARS]
+
+
+def test_item_table_keeps_items_known_everywhere(spark):
+    parts = [spark.createDataFrame([(i, i) for i in ids], f"item int, c{n} int") for n, ids in enumerate(([1, 2, 3], [2, 3], [3, 4]))]
+    assert [tuple(r) for r in features.item_table("item", *parts).collect()] == [(3, 3, 3, 3)]

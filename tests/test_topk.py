@@ -1,0 +1,130 @@
+import numpy as np
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from earshot.operators import topk
+from earshot.operators.topk import top_k
+
+LAYOUTS = ["items", "queries", "grid"]
+
+
+def frame(spark, name, matrix, **extra):
+    rows = [(i, [float(x) for x in v], *(c[i] for c in extra.values())) for i, v in enumerate(matrix)]
+    schema = f"{name} bigint, features array<double>" + "".join(f", {n} string" if n == "cell" else f", {n} int" for n in extra)
+    return spark.createDataFrame(rows, schema)
+
+
+def brute(q, x, ks, metric, allowed=None):
+    out = []
+    for i, v in enumerate(q):
+        cost = ((x - v) ** 2).sum(1) if metric == "l2" else -(x * v).sum(1)
+        ids = [j for j in np.lexsort((np.arange(len(x)), np.round(cost, 9))) if allowed is None or allowed(i, j)]
+        out += [(i, int(j), r) for r, j in enumerate(ids[: ks[i]], 1)]
+    return out
+
+
+def got(df):
+    return sorted(((r.query_id, r.id, r.rank) for r in df.collect()), key=lambda t: (t[0], t[2]))
+
+
+@pytest.fixture(scope="module")
+def vectors():
+    rng = np.random.default_rng(3)
+    items = rng.normal(size=(90, 6))
+    items[30:60] = items[7]  # a third of the items are copies of one vector
+    return rng.normal(size=(40, 6)), items
+
+
+@pytest.fixture()
+def small_blocks(monkeypatch):
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 8)
+    monkeypatch.setattr(topk, "ITEM_BLOCK", 16)
+    monkeypatch.setattr(topk, "PAIRS_PER_TASK", 500)
+
+
+@pytest.mark.parametrize("layout", [None, *LAYOUTS])
+@pytest.mark.parametrize("metric", ["dot", "l2"])
+def test_every_layout_equals_brute_force(spark, vectors, small_blocks, layout, metric):
+    q, x = vectors
+    for k in (1, 7, 200):
+        found = top_k(frame(spark, "query_id", q), frame(spark, "id", x).repartition(3), k, metric, layout=layout)
+        assert got(found) == brute(q, x, [k] * len(q), metric)
+
+
+@pytest.mark.parametrize("layout", LAYOUTS)
+def test_each_query_may_have_its_own_k(spark, vectors, small_blocks, layout):
+    q, x = vectors
+    ks = [i % 5 for i in range(len(q))]
+    found = top_k(frame(spark, "query_id", q, k=ks), frame(spark, "id", x), "k", "dot", layout=layout)
+    assert got(found) == brute(q, x, ks, "dot")
+
+
+@pytest.mark.parametrize("layout", LAYOUTS)
+def test_cells_limit_who_meets_whom(spark, vectors, small_blocks, layout):
+    """Two thirds of the items share one cell; queries visit two cells each."""
+    q, x = vectors
+    cells = ["hot" if j % 3 else "ab"[j % 2] for j in range(len(x))]
+    visits = [("hot", "a"), ("a", "b"), ("b", "none")]
+    asked = frame(spark, "query_id", q, n=[i % 3 for i in range(len(q))])
+    cell = F.explode(F.when(F.col("n") == 0, F.array(F.lit("hot"), F.lit("a"))).when(F.col("n") == 1, F.array(F.lit("a"), F.lit("b"))).otherwise(F.array(F.lit("b"), F.lit("none"))))
+    found = top_k(asked.withColumn("cell", cell), frame(spark, "id", x, cell=cells), 5, "l2", cell="cell", layout=layout)
+    assert got(found) == brute(q, x, [5] * len(q), "l2", lambda i, j: cells[j] in visits[i % 3])
+
+
+@pytest.mark.parametrize("layout", LAYOUTS)
+def test_a_pair_met_in_several_cells_counts_once(spark, vectors, small_blocks, layout):
+    q, x = vectors
+    twice = F.explode(F.array(F.lit("s"), F.lit("t")))
+    found = top_k(
+        frame(spark, "query_id", q).withColumn("cell", twice), frame(spark, "id", x).withColumn("cell", twice), 6, "l2", cell="cell", layout=layout
+    )
+    assert got(found) == brute(q, x, [6] * len(q), "l2")
+
+
+@pytest.mark.parametrize("layout", [None, *LAYOUTS])
+def test_empty_sides(spark, vectors, layout):
+    q, x = vectors
+    queries, items = frame(spark, "query_id", q), frame(spark, "id", x)
+    assert top_k(queries.where("false"), items, 3, "l2", layout=layout).count() == 0
+    assert top_k(queries, items.where("false"), 3, "l2", layout=layout).count() == 0
+
+
+def test_layout_follows_the_size(spark, vectors, monkeypatch):
+    q, x = vectors
+    side = frame(spark, "q", q).selectExpr("q", "features as vec", "3 as k")
+    assert topk._layout(side, 40, 90, 3) == "items"
+    monkeypatch.setattr(topk, "MAX_SIDE_BYTES", 50 * 8 * 10)
+    assert topk._layout(side, 40, 90, 3) == "queries"
+    assert topk._layout(side, 40, 90, "k") == "queries"
+    monkeypatch.setattr(topk, "MAX_HELD_ROWS", 100)
+    assert topk._layout(side, 40, 90, 3) == "grid"
+
+
+def test_unknown_metric(spark, vectors):
+    with pytest.raises(ValueError):
+        top_k(frame(spark, "query_id", vectors[0]), frame(spark, "id", vectors[1]), 3, "cosine")
+
+
+def test_scores_are_the_true_ones(spark, vectors):
+    q, x = vectors
+    for metric in ("dot", "l2"):
+        for r in top_k(frame(spark, "query_id", q), frame(spark, "id", x), 4, metric).collect():
+            a, b = q[r.query_id], x[r.id]
+            want = (a * b).sum() if metric == "dot" else ((a - b) ** 2).sum()
+            assert r.score == pytest.approx(want, rel=1e-12)
+
+
+@settings(max_examples=60, deadline=None, suppress_health_check=[HealthCheck.too_slow])
+@given(st.data())
+def test_block_scoring_with_ties(data):
+    """Integer vectors tie often; the block search must still rank by (cost, id)."""
+    dims = data.draw(st.integers(1, 4))
+    vector = st.lists(st.integers(-2, 2), min_size=dims, max_size=dims)
+    q = np.array(data.draw(st.lists(vector, min_size=1, max_size=5)), dtype=float)
+    x = np.array(data.draw(st.lists(vector, min_size=1, max_size=25)), dtype=float)
+    ks = np.array(data.draw(st.lists(st.integers(1, 30), min_size=len(q), max_size=len(q))), dtype=np.int32)
+    metric = data.draw(st.sampled_from(["dot", "l2"]))
+    found = topk._score_block(np.arange(len(q)), ks, q, np.arange(len(x)), x, metric)
+    assert list(zip(found[0].tolist(), found[2].tolist(), found[4].tolist())) == brute(q, x, ks, metric)

@@ -1,32 +1,38 @@
-"""What each user interacted with, as one label array per user."""
+"""Values per key as arrays, such as what each user interacted with."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from earshot.functions.hashing import spread
 from earshot.operators.skew import lookup_join
 
-MAX_LABELS = 100_000
+MAX_VALUES = 100_000
 
 
-def user_histories(
-    df: DataFrame, user: str = "user_index", item: str = "item_index", max_labels: int = MAX_LABELS
+def collect_parts(
+    df: DataFrame, key: str, value: str, output: str, entry: Column | None = None, max_values: int = MAX_VALUES
 ) -> DataFrame:
-    """(user, part, label): the user's distinct items, sorted.
+    """(key, part, output): sorted array of the ``entry`` (default ``value``) of every key.
 
-    A history longer than ``max_labels`` would sit in one row of one task; it comes out as
-    several rows (``part`` 0, 1, ...), together holding every item.
+    ``df`` has one row per (key, value). A key with more than ``max_values`` rows would end as one
+    huge row of one task; it comes out as several rows (``part`` 0, 1, ...) that together hold
+    every value.
     """
-    pairs = df.select(user, item).distinct()
-    sizes = pairs.groupBy(user).agg(F.count(F.lit(1)).alias("_n"))
-    long = sizes.where(F.col("_n") > max_labels)
-    if long.isEmpty():
-        parted = pairs.withColumn("part", F.lit(0))
+    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    parts = sizes.where(F.col("_n") > max_values).select(key, F.ceil(F.col("_n") * 2 / max_values).alias("_parts"))
+    if parts.isEmpty():
+        parted = df.withColumn("part", F.lit(0))
     else:
-        parts = long.select(user, F.ceil(F.col("_n") * 2 / max_labels).alias("_parts"))
-        parted = lookup_join(pairs, parts, user, how="left").withColumn(
-            "part", spread(F.coalesce("_parts", F.lit(1)), item)
-        )
-    return parted.groupBy(user, "part").agg(F.array_sort(F.collect_list(item)).alias("label"))
+        part = spread(F.coalesce("_parts", F.lit(1)), value)
+        parted = lookup_join(df, parts, key, how="left").withColumn("part", part)
+    entry = F.col(value) if entry is None else entry
+    return parted.groupBy(key, "part").agg(F.array_sort(F.collect_list(entry)).alias(output))
+
+
+def user_histories(
+    df: DataFrame, user: str = "user_index", item: str = "item_index", max_labels: int = MAX_VALUES
+) -> DataFrame:
+    """(user, part, label): the user's distinct items, sorted."""
+    return collect_parts(df.select(user, item).distinct(), user, item, "label", max_values=max_labels)

@@ -26,6 +26,7 @@ import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from earshot.functions.hashing import spread
 from earshot.operators.skew import lookup_join
@@ -63,7 +64,7 @@ def top_k(
     own_k = isinstance(k, str)
     cells = F.col(cell).cast("string") if cell else F.lit("")
     limit = F.col(k).cast("int") if own_k else F.lit(k)
-    vec = F.col(vector).cast("array<double>").alias("vec")
+    vec = _vec(vector)
     q = queries.select(F.col(query_id).cast("bigint").alias("q"), limit.alias("k"), cells.alias("cell"), vec)
     x = items.select(F.col(item_id).cast("bigint").alias("x"), cells.alias("cell"), vec)
     n_q, n_x = q.count(), x.count()
@@ -88,10 +89,49 @@ def top_k(
     )
 
 
+def nearest(rows: DataFrame, centres: DataFrame, cell: str = "cell", vector: str = "features") -> DataFrame | None:
+    """``rows`` with the ``cell`` of the nearest centre, lowest cell on ties; None if there are too many centres.
+
+    The centres are broadcast and every row keeps its place, so nothing is shuffled or joined.
+    """
+    x = centres.select(F.col(cell).cast("bigint").alias("x"), F.lit("").alias("cell"), _vec(vector))
+    if x.count() * _row_bytes(x) > MAX_SIDE_BYTES:
+        return None
+    held = _broadcast(x)
+    names = rows.columns
+
+    def assign(batches):
+        known = _by_cell(held.value)
+        for batch in batches:
+            n = batch.num_rows
+            matrix = _matrix(batch.column(names.index(vector)))
+            asked = {"": (np.arange(n), np.ones(n, dtype=np.int32), matrix)}
+            found = [part[2] for part in _search(asked, known, "l2")] if n else []
+            if found:  # one centre per row, in row order
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(found))], [*names, cell])
+
+    schema = T.StructType([*rows.schema.fields, T.StructField(cell, T.LongType())])
+    return rows.mapInArrow(assign, schema)
+
+
+def _vec(vector: str):
+    return F.col(vector).cast("array<double>").alias("vec")
+
+
+def _row_bytes(side: DataFrame) -> int:
+    first = side.select(F.size("vec")).first()
+    return 8 * ((first[0] if first else 0) + 4)
+
+
+def _broadcast(side: DataFrame):
+    """A side of checked size as one Arrow table on every executor."""
+    return side.sparkSession.sparkContext.broadcast(side.toArrow().combine_chunks())
+
+
 def _layout(q: DataFrame, n_q: int, n_x: int, k: int | str) -> str:
     if not n_q or not n_x:
         return "grid"
-    row_bytes = 8 * (q.select(F.size("vec")).first()[0] + 4)
+    row_bytes = _row_bytes(q)
     if n_x * row_bytes <= MAX_SIDE_BYTES:
         return "items"
     largest_k = q.agg(F.max("k")).first()[0] if isinstance(k, str) else k
@@ -111,7 +151,7 @@ def _spread_work(side: DataFrame, n_rows: int, n_other: int) -> DataFrame:
 
 def _scan(side: DataFrame, small: DataFrame, metric: str, broadcast_queries: bool, has_cells: bool) -> DataFrame:
     """Score ``side`` where it lies against ``small``, whose size ``_layout`` has checked."""
-    held = side.sparkSession.sparkContext.broadcast(small.toArrow().combine_chunks())
+    held = _broadcast(small)
     if has_cells:
         side = side.join(F.broadcast(small.select("cell").distinct()), "cell", "left_semi")
 
@@ -174,8 +214,7 @@ def _by_cell(table: pa.Table) -> dict:
     if not table.num_rows:
         return {}
     table = table.combine_chunks()
-    column = table.column("vec").combine_chunks()
-    matrix = column.flatten().to_numpy(zero_copy_only=False).reshape(len(column), -1)
+    matrix = _matrix(table.column("vec").combine_chunks())
     is_query = "q" in table.column_names
     ids = table.column("q" if is_query else "x").to_numpy()
     k = table.column("k").to_numpy() if is_query else None
@@ -192,6 +231,11 @@ def _by_cell(table: pa.Table) -> dict:
     return parts
 
 
+def _matrix(column: pa.ListArray) -> np.ndarray:
+    flat = column.flatten().to_numpy(zero_copy_only=False)
+    return flat.astype(np.float64, copy=False).reshape(len(column), -1)
+
+
 def _search(queries: dict, items: dict, metric: str):
     """(query ids, k, item ids, costs, ranks) for every cell both sides share."""
     for name, (q_ids, q_k, q_mat) in queries.items():

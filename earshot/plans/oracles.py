@@ -340,7 +340,7 @@ ORACLES = {
     ),
     "item_tags": _sql(
         ["tags", "tagtf"],
-        "SELECT track_id, string_agg(tag || '=' || tf, ',' ORDER BY tag) AS tags FROM tagtf GROUP BY 1",
+        "SELECT track_id, 0::BIGINT AS part, string_agg(tag || '=' || tf, ',' ORDER BY tag) AS tags FROM tagtf GROUP BY 1",
     ),
     "frequent_tags": _sql(
         ["tags"], "SELECT tag, count(*) AS n FROM tags GROUP BY 1 HAVING count(*) >= 100"

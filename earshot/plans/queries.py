@@ -14,7 +14,6 @@ from earshot.functions.counts import drop_low, log_compress
 from earshot.functions.hashing import drawn
 from earshot.operators import ann, coldstart, features, histories, metrics, models, recommend, splits
 from earshot.operators.indexing import apply_index, fit_index
-from earshot.operators.topk import top_k
 from earshot.plans import study
 from earshot.plans.coldstart import Content, compare_factors, predicted_factors, raw_features, training_parts
 from earshot.plans.prepare import Prepared, count_variants, prepare
@@ -383,9 +382,9 @@ def tag_counts(spark, root):
 def item_tags(spark, root):
     """The tags of every item as one sorted list, each with its count."""
     counts = features.term_counts(tables.tags(spark, root), "track_id", "tag")
-    listed = counts.groupBy("track_id").agg(F.array_sort(F.collect_list(F.struct("tag", "tf"))).alias("tags"))
+    listed = histories.collect_parts(counts, "track_id", "tag", "tags", entry=F.struct("tag", "tf"))
     text = F.array_join(F.transform("tags", lambda t: F.concat_ws("=", t["tag"], t["tf"])), ",")
-    return listed.select("track_id", text.alias("tags"))
+    return listed.select("track_id", F.col("part").cast("bigint"), text.alias("tags"))
 
 
 def frequent_tags(spark, root):
@@ -448,9 +447,8 @@ def full_features(spark, root):
 def classifier_error(spark, root):
     """Error of assigning every vector to the label whose mean is nearest."""
     vectors = tables.factors(spark, root)
-    nearest = top_k(_asked(vectors), stored(_label_centres(vectors), "centres"), 1, "l2", item_id="cell")
-    predicted = nearest.select(F.col("query_id").alias("id"), F.col("cell").alias("prediction"))
-    return metrics.error_rate(vectors.select("id", "label").join(predicted, "id")).withColumns(_round("error_rate"))
+    assigned = ann.assign_cells(vectors, stored(_label_centres(vectors), "centres"))
+    return metrics.error_rate(assigned, prediction="cell").withColumns(_round("error_rate"))
 
 
 def cluster_training_table(spark, root):

@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from earshot.operators import ann
+from earshot.operators import ann, topk
 from earshot.plans.search import compare_methods
 
 
@@ -38,6 +38,14 @@ def test_exact_search_includes_the_query(queries, vectors):
     assert len(rows) == 3 * queries.count()
 
 
+def test_many_centres_are_assigned_by_a_shuffle(vectors, index, monkeypatch):
+    monkeypatch.setattr(topk, "MAX_SIDE_BYTES", 100)
+    centres, indexed = index
+    assert topk.nearest(vectors, centres) is None
+    rows = lambda df: sorted((r.id, r.cell) for r in df.collect())
+    assert rows(ann.assign_cells(vectors, centres)) == rows(indexed)
+
+
 def test_every_vector_has_one_cell_and_it_is_nearest(vectors, index):
     centres, indexed = index
     middle = {r.cell: np.array(r.features) for r in centres.collect()}

@@ -39,7 +39,8 @@ MAX_HELD_ROWS = 4_000_000  # queries * k that one task may hold in the ``queries
 QUERY_BLOCK = 16_384
 ITEM_BLOCK = 65_536
 SCORE_CELLS = 4 << 20  # scores in memory at a time
-PAIRS_PER_TASK = 50_000_000
+PAIRS_PER_TASK = 10_000_000
+MIN_ROWS_PER_TASK = 1000  # below this, loading the broadcast side costs more than scoring
 
 
 def top_k(
@@ -68,7 +69,7 @@ def top_k(
     q = queries.select(F.col(query_id).cast("bigint").alias("q"), limit.alias("k"), cells.alias("cell"), vec)
     x = items.select(F.col(item_id).cast("bigint").alias("x"), cells.alias("cell"), vec)
     n_q, n_x = q.count(), x.count()
-    layout = layout or _layout(q, n_q, n_x, k)
+    layout = layout or _layout(q, x, n_q, n_x, k)
 
     if layout == "items":
         found = _scan(_spread_work(q, n_q, n_x), x, metric, broadcast_queries=False, has_cells=bool(cell))
@@ -128,10 +129,10 @@ def _broadcast(side: DataFrame):
     return side.sparkSession.sparkContext.broadcast(side.toArrow().combine_chunks())
 
 
-def _layout(q: DataFrame, n_q: int, n_x: int, k: int | str) -> str:
+def _layout(q: DataFrame, x: DataFrame, n_q: int, n_x: int, k: int | str) -> str:
     if not n_q or not n_x:
         return "grid"
-    row_bytes = _row_bytes(q)
+    row_bytes = _row_bytes(x)
     if n_x * row_bytes <= MAX_SIDE_BYTES:
         return "items"
     largest_k = q.agg(F.max("k")).first()[0] if isinstance(k, str) else k
@@ -144,9 +145,12 @@ FOUND = "q bigint, k int, x bigint, cost double, rank int"
 
 
 def _spread_work(side: DataFrame, n_rows: int, n_other: int) -> DataFrame:
-    """Few file splits can still mean much scoring: give every task a bounded number of pairs."""
-    tasks = n_rows * n_other // PAIRS_PER_TASK
-    return side.repartition(tasks) if tasks > 1 else side
+    """Few file splits can still mean much scoring: cut the scanned side by the number of pairs.
+
+    Partitioning by id keeps the rows of a query, one per cell it visits, in one task.
+    """
+    tasks = n_rows // max(MIN_ROWS_PER_TASK, PAIRS_PER_TASK // max(n_other, 1))
+    return side.repartition(tasks, side.columns[0]) if tasks > 1 else side
 
 
 def _scan(side: DataFrame, small: DataFrame, metric: str, broadcast_queries: bool, has_cells: bool) -> DataFrame:
@@ -242,30 +246,35 @@ def _search(queries: dict, items: dict, metric: str):
         if name not in items:
             continue
         x_ids, _, x_mat = items[name]
+        squares = np.einsum("ij,ij->i", x_mat, x_mat)
+        by_dim = np.ascontiguousarray(x_mat.T)
         step = max(1, SCORE_CELLS // len(x_ids))
         for start in range(0, len(q_ids), step):
             part = slice(start, start + step)
-            yield _score_block(q_ids[part], q_k[part], q_mat[part], x_ids, x_mat, metric)
+            yield _score_block(q_ids[part], q_k[part], q_mat[part], x_ids, by_dim, squares, metric)
 
 
-def _score_block(q_ids, q_k, q_mat, x_ids, x_mat, metric):
-    product = q_mat @ x_mat.T
+def _score_block(q_ids, q_k, q_mat, x_ids, x_by_dim, x_sq, metric):
+    rough = q_mat @ x_by_dim
     q_sq = np.einsum("ij,ij->i", q_mat, q_mat)
-    x_sq = np.einsum("ij,ij->i", x_mat, x_mat)
     if metric == "dot":
-        rough, scale = -product, np.sqrt(q_sq * x_sq.max())
-    else:
-        rough, scale = q_sq[:, None] - 2 * product + x_sq, q_sq + x_sq.max()
+        rough *= -1
+        slack = np.sqrt(q_sq * x_sq.max())
+    else:  # the query's own square shifts all its distances alike
+        rough *= -2
+        rough += x_sq
+        slack = q_sq + x_sq.max()
     k = np.minimum(q_k, len(x_ids))
     if k.min() == k.max():
         kth = np.partition(rough, k[0] - 1, axis=1)[:, k[0] - 1]
     else:
         kth = np.take_along_axis(np.sort(rough, axis=1), k[:, None] - 1, axis=1)[:, 0]
     # The matrix product rounds differently from block to block; keep whatever it cannot tell apart.
-    q_at, x_at = np.nonzero(rough <= (kth + 1e-10 * scale)[:, None])
+    near = rough <= (kth + 1e-10 * slack)[:, None]
+    q_at, x_at = np.divmod(np.flatnonzero(near), len(x_ids))
     cost = np.zeros(len(q_at))
-    for dim in range(q_mat.shape[1]):
-        a, b = q_mat[q_at, dim], x_mat[x_at, dim]
+    for q_dim, x_dim in zip(np.ascontiguousarray(q_mat.T), x_by_dim):
+        a, b = q_dim[q_at], x_dim[x_at]
         cost += -(a * b) if metric == "dot" else (a - b) ** 2
     return _ranked(q_ids[q_at], q_k[q_at], x_ids[x_at], cost)
 

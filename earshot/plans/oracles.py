@@ -359,6 +359,10 @@ ORACLES = {
             JOIN (SELECT track_id, count(*) AS n_words FROM lyr GROUP BY 1) USING (track_id)""",
         artists=_index("meta", "artist_id", "artist_idx"),
     ),
+    "item_preview": _sql(
+        ["meta", "audio"],
+        "SELECT track_id, artist_id, duration FROM meta JOIN audio USING (track_id) ORDER BY track_id LIMIT 5",
+    ),
     "scaled_features": _sql(
         ["tags", "meta", "audio", "lyr", "shortrows"],
         "SELECT track_id, "

@@ -423,6 +423,12 @@ def item_features(spark, root):
     return joined.withColumns({**_big("artist_idx"), **_round(*features.input_columns(content.audio))})
 
 
+def item_preview(spark, root):
+    """The first five items of the sorted table."""
+    meta = tables.metadata(spark, root).select("track_id", "artist_id", "duration")
+    return meta.join(tables.audio_features(spark, root).select("track_id"), "track_id").orderBy("track_id").limit(5)
+
+
 def scaled_features(spark, root):
     content = _content(spark, root)
     raw = raw_features(content)
@@ -574,6 +580,7 @@ QUERIES = {
         tags_marked_frequent,
         lyrics_bag_of_words,
         item_features,
+        item_preview,
         scaled_features,
         full_features,
         classifier_error,

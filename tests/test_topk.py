@@ -42,6 +42,7 @@ def small_blocks(monkeypatch):
     monkeypatch.setattr(topk, "QUERY_BLOCK", 8)
     monkeypatch.setattr(topk, "ITEM_BLOCK", 16)
     monkeypatch.setattr(topk, "PAIRS_PER_TASK", 500)
+    monkeypatch.setattr(topk, "MIN_ROWS_PER_TASK", 1)
 
 
 @pytest.mark.parametrize("layout", [None, *LAYOUTS])
@@ -94,12 +95,12 @@ def test_empty_sides(spark, vectors, layout):
 def test_layout_follows_the_size(spark, vectors, monkeypatch):
     q, x = vectors
     side = frame(spark, "q", q).selectExpr("q", "features as vec", "3 as k")
-    assert topk._layout(side, 40, 90, 3) == "items"
+    assert topk._layout(side, side, 40, 90, 3) == "items"
     monkeypatch.setattr(topk, "MAX_SIDE_BYTES", 50 * 8 * 10)
-    assert topk._layout(side, 40, 90, 3) == "queries"
-    assert topk._layout(side, 40, 90, "k") == "queries"
+    assert topk._layout(side, side, 40, 90, 3) == "queries"
+    assert topk._layout(side, side, 40, 90, "k") == "queries"
     monkeypatch.setattr(topk, "MAX_HELD_ROWS", 100)
-    assert topk._layout(side, 40, 90, 3) == "grid"
+    assert topk._layout(side, side, 40, 90, 3) == "grid"
 
 
 def test_unknown_metric(spark, vectors):
@@ -126,5 +127,5 @@ def test_block_scoring_with_ties(data):
     x = np.array(data.draw(st.lists(vector, min_size=1, max_size=25)), dtype=float)
     ks = np.array(data.draw(st.lists(st.integers(1, 30), min_size=len(q), max_size=len(q))), dtype=np.int32)
     metric = data.draw(st.sampled_from(["dot", "l2"]))
-    found = topk._score_block(np.arange(len(q)), ks, q, np.arange(len(x)), x, metric)
+    found = next(topk._search({"": (np.arange(len(q)), ks, q)}, {"": (np.arange(len(x)), None, x)}, metric))
     assert list(zip(found[0].tolist(), found[2].tolist(), found[4].tolist())) == brute(q, x, ks, metric)

@@ -75,7 +75,7 @@ BOARD = "position int, rank int, reg double, alpha double, map double, coverage
 
 def train_grid(train: DataFrame, points: list[Params], root: str, share: float = 1.0, **fit) -> None:
     """Fit and save a model for every grid point over one cached frame."""
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    train = train.select("user_index", "item_index", "count").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         for params in points:
             save_model(fit_als(train, params, **fit), model_path(root, params, share))
@@ -91,7 +91,7 @@ def evaluate_grid(labels: DataFrame, points: list[Params], root: str, share: flo
 
 def grid_search(train: DataFrame, labels: DataFrame, points: list[Params], k: int = LIST_LENGTH, **fit) -> DataFrame:
     """Fit and score every point without saving; the same leaderboard."""
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
+    train = train.select("user_index", "item_index", "count").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         return _board(labels, points, lambda params: fit_als(train, params, **fit), k)
     finally:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from earshot.functions.hashing import spread
 from earshot.session import stored
 
-MAX_BROADCAST_ROWS = 500_000
+MAX_BROADCAST_ROWS = 1_500_000  # narrow rows, a key and an id: at most some 200 MB
 HOT_ROWS = 2_000_000  # a key with more rows is cut into parts of about this size
 
 

@@ -36,7 +36,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MAX_SIDE_BYTES = 128 << 20  # largest side that is broadcast
 MAX_HELD_ROWS = 4_000_000  # queries * k that one task may hold in the ``queries`` layout
-QUERY_BLOCK = 16_384
+QUERY_BLOCK = 8_192
 ITEM_BLOCK = 65_536
 SCORE_CELLS = 4 << 20  # scores in memory at a time
 PAIRS_PER_TASK = 10_000_000
@@ -202,7 +202,8 @@ def _grid(q: DataFrame, x: DataFrame, n_q: int, n_x: int, metric: str, has_cells
     key = ["cell", "qb", "xb"]
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        return _table(_best(_search(_by_cell(left), _by_cell(right), metric)))
+        found = _search(_by_cell(left), _by_cell(right), metric)  # every query is in one part
+        return pa.concat_tables([_table(None), *map(_table, found)])
 
     drop = ["q_blocks", "x_blocks"]
     return (

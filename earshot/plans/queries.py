@@ -495,7 +495,7 @@ def kmeans_labels(spark, root):
 
 
 def _parts(spark, root, full=False):
-    return training_parts(_content(spark, root), tables.factors(spark, root), clusters=8, full=full, max_terms=1000)
+    return training_parts(_content(spark, root), tables.factors(spark, root), coldstart.CLUSTERS, full)
 
 
 def classifier_eval(spark, root):

@@ -13,7 +13,7 @@ DATA = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     folder = str(tmp_path_factory.mktemp("shared"))
-    session = local_session("tests", "4", **{"spark.checkpoint.dir": folder, "spark.sql.shuffle.partitions": "4"})
+    session = local_session("tests", "8", **{"spark.checkpoint.dir": folder, "spark.sql.shuffle.partitions": "2"})
     yield session
     session.stop()
 

@@ -1,10 +1,23 @@
 import pytest
+from pyspark.ml.classification import LogisticRegressionModel
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from earshot import session
+from earshot.operators.coldstart import logistic_regression
+from earshot.operators.models import save_model
 from earshot.sources import store, tables
 
 
+def test_logistic_model_is_saved_and_loaded(spark, tmp_path):
+    rows = [(float(i % 2), Vectors.dense([float(i % 2), 1.0])) for i in range(20)]
+    df = spark.createDataFrame(rows, ["label", "features"])
+    model = logistic_regression().fit(df)
+    save_model(model, str(tmp_path / "lr"))
+    save_model(model, str(tmp_path / "lr"))  # overwrites
+    assert LogisticRegressionModel.load(str(tmp_path / "lr")).transform(df).where("label <> prediction").count() == 0
+
+
 def test_writing_twice_needs_overwrite(spark, tmp_path):
     df, path = spark.range(3), str(tmp_path / "t")
     store.write_table(df, path)
@@ -18,16 +31,20 @@ def test_clustered_files_hold_sorted_ranges_even_with_a_hot_value(spark, tmp_pat
     path = str(tmp_path / "c")
     hot = F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 100)
     df = spark.range(60000).select(hot.alias("k"), "id")
-    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    settings = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "6"}
+    before = {name: spark.conf.get(name) for name in settings}
     try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
         store.write_clustered(df, path, "k")
     finally:
-        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        for name, value in before.items():
+            spark.conf.set(name, value)
     back = spark.read.parquet(path)
     assert back.count() == 60000
     files = back.groupBy(F.input_file_name().alias("f")).agg(F.min("k").alias("low"), F.max("k").alias("high"), F.count("*").alias("n"))
     rows = sorted(files.collect(), key=lambda r: (r.low, r.high))
-    assert len(rows) > 1 and max(r.n for r in rows) < 30000
+    assert len(rows) > 3 and max(r.n for r in rows) < 20000  # the hot value alone has 20200 rows
     assert all(a.high <= b.low for a, b in zip(rows, rows[1:]))
 
 

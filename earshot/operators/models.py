@@ -14,11 +14,12 @@ from earshot.operators.metrics import ranking_metrics
 from earshot.operators.recommend import LIST_LENGTH, recommend
 from earshot.session import scratch_root, stored
 
-# The parameter grid and sample share of the study.
+# The parameter grid, the sample share, and the directory name of a saved model.
 RANKS = (5, 10, 20, 30, 50, 80)
 REGS = (0.01, 0.1, 1.0)
 ALPHAS = (0.1, 1.0, 5.0)
 TRAIN_SHARE = 0.02
+MODEL_NAME = "model_reg_{reg}_rank{rank}_a_{alpha}_{share}"
 
 
 @dataclass(frozen=True)
@@ -53,7 +54,8 @@ def fit_als(train: DataFrame, params: Params, seed: int = 1, blocks: int = 10, i
 
 
 def model_path(root: str, params: Params, share: float) -> str:
-    return f"{root}/model_reg_{params.reg}_rank{params.rank}_a_{params.alpha}_{share}"
+    name = MODEL_NAME.format(reg=params.reg, rank=params.rank, alpha=params.alpha, share=share)
+    return f"{root}/{name}"
 
 
 def save_model(model, path: str) -> None:

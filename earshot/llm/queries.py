@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earshot.llm import caps, chat, decontaminate, langid, licenses, mixing, simhash, tokenids, urlfilter
+from earshot.llm import caps, chat, decontaminate, langid, licenses, lmscore, mixing, simhash, tokenids, urlfilter
 from earshot.llm.words import count_words
 from earshot.session import scratch_path, stored
 
@@ -65,6 +65,11 @@ def op5_simhash(spark: SparkSession, root: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+@query
+def op6_lm_score(spark: SparkSession, root: str) -> DataFrame:
+    return lmscore.score_documents(table(spark, root, "documents"), public_tokenizers.path(TOKENIZER))
+
+
 @query
 def op7_language_id(spark: SparkSession, root: str) -> DataFrame:
     docs = table(spark, root, "documents").withColumn("held_out", langid.held_out())

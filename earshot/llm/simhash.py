@@ -79,14 +79,11 @@ def split_mask(mask: int, parts: int) -> list[int]:
 
 def shard_keys(fps: DataFrame, radius: int = RADIUS, max_shard: int = MAX_SHARD) -> DataFrame:
     """(fp, mask, value): the shards of every fingerprint, value being its bits under the mask."""
-    spark = fps.sparkSession
     level, masks, settled = fps.select("fp", F.lit(0).cast("long").alias("mask")), [0], []
     while True:
         finer = {m: split_mask(m, radius + 1) for m in masks}
-        table = spark.createDataFrame([(_signed(m), _signed(s)) for m in masks for s in finer[m]], "mask long, finer long")
-        keyed = level.join(F.broadcast(table), "mask").select(
-            "fp", F.col("finer").alias("mask"), F.col("fp").bitwiseAND(F.col("finer")).alias("value")
-        )
+        table = F.create_map(*[x for m in masks for x in (F.lit(_signed(m)), F.array(*[F.lit(_signed(s)) for s in finer[m]]))])
+        keyed = level.select("fp", F.explode(table[F.col("mask")]).alias("mask")).select("fp", "mask", F.col("fp").bitwiseAND(F.col("mask")).alias("value"))
         masks = sorted({s for subs in finer.values() for s in subs})
         counts = keyed.groupBy("mask", "value").agg(F.count(F.lit(1)).alias("n"))
         hot = stored(counts.where(F.col("n") > max_shard).drop("n"), "hot-shards")

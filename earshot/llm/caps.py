@@ -189,9 +189,22 @@ def _compare(held: list[pa.RecordBatch], key: tuple | None, sizes: dict[int, int
     unit = _unit(table["e"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim))
     k = sizes[dim]
     row, filters = codes(dim, k).decode(unit)
+    keys = row * k * k + filters  # ascending, as rows and their filters are
     width = np.bincount(row, minlength=len(unit))
-    lists = np.full((len(unit), width.max()), -1, np.int64)
-    lists[row, np.arange(len(row)) - np.repeat(np.cumsum(width) - width, width)] = filters
+    begin = np.cumsum(width) - width
+
+    def smallest_shared(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """The smallest filter of each pair, -1 if none; most pairs share the first one tried."""
+        found, open_, rank = np.full(len(i), -1), np.arange(len(i)), 0
+        while len(open_):
+            open_ = open_[width[i[open_]] > rank]
+            tried = filters[begin[i[open_]] + rank]
+            wanted = j[open_] * k * k + tried
+            hit = keys[np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)] == wanted
+            found[open_[hit]] = tried[hit]
+            open_, rank = open_[~hit], rank + 1
+        return found
+
     links, unions = np.zeros(len(unit)), Unions(len(unit))
     left, right = np.flatnonzero(own == low), np.flatnonzero(own == high)
     for a in range(0, len(left), TILE):
@@ -203,12 +216,8 @@ def _compare(held: list[pa.RecordBatch], key: tuple | None, sizes: dict[int, int
                 i, j = i[i < j], j[i < j]
             if len(i):
                 unions.add(i, j)
-            step = max(1, 8_000_000 // lists.shape[1] ** 2)
-            for s in range(0, len(i), step):
-                p, q = i[s : s + step], j[s : s + step]
-                least = np.where((lists[p][:, :, None] == lists[q][:, None, :]).any(2) & (lists[p] >= 0), lists[p], np.iinfo(np.int64).max).min(1)
-                mine = least // k == half
-                links += np.bincount(p[mine], n[q[mine]], len(unit)) + np.bincount(q[mine], n[p[mine]], len(unit))
+            mine = smallest_shared(i, j) // k == half
+            links += np.bincount(i[mine], n[j[mine]], len(unit)) + np.bincount(j[mine], n[i[mine]], len(unit))
     joined = unions.roots != np.arange(len(unit))
     out = np.flatnonzero((links > 0) | joined)
     if len(out):

@@ -75,15 +75,18 @@ def format_conversations(turns: DataFrame, source: str = TURNS, part_chars: int
             messages = ({"role": role, "text": text} for _, role, text in rows)
             part, texts, spans, at = 0, [], [], 0
             for text, masked in template.stream(messages):
-                if masked is None and at >= part_chars:
-                    done.append((conv, part, "".join(texts), spans))
-                    yield flush()
-                    part, texts, spans, at, size = part + 1, [], [], 0, 0
+                if masked is None:
+                    if at >= part_chars:
+                        done.append((conv, part, "".join(texts), spans))
+                        yield flush()
+                        part, texts, spans, at, size = part + 1, [], [], 0, 0
+                    continue
                 texts.append(text)
                 if masked and text:
                     spans.append((at, at + len(text)))
                 at += len(text)
-            done.append((conv, part, "".join(texts), spans))
+            if texts or not part:
+                done.append((conv, part, "".join(texts), spans))
             size += at
             if size >= part_chars or len(done) >= 4096:
                 yield flush()

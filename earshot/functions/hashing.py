@@ -7,8 +7,6 @@ row its own fixed draw, and a split becomes a plain filter: no shuffle, no store
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -38,7 +36,3 @@ def spread(n: Column | int, *keys: Column | str) -> Column:
     width = F.lit(n) if isinstance(n, int) else n
     hashed = F.xxhash64(*[F.col(k) if isinstance(k, str) else k for k in keys])
     return F.pmod(hashed, width.cast("bigint")).cast("int")
-
-
-def any_of(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a | b, conditions)

@@ -17,9 +17,9 @@ SCALARS = ["loudness_std", "loudness_mean", "duration", "artist_hotttnesss", "ar
 
 
 def words(texts: DataFrame, key: str, text: str = "text") -> DataFrame:
-    """(key, word): the blank-separated lower-case words of whole texts."""
+    """(key, word): the lower-case words of whole texts, cut at runs of ASCII white space; punctuation stays."""
     # The outer form is split once; the inner one is split again by a filter Spark derives from it.
-    split = F.explode_outer(F.split(F.lower(text), " ")).alias("word")
+    split = F.explode_outer(F.split(F.lower(text), "[\\x09-\\x0D\\x20]+")).alias("word")
     return texts.select(key, split).where(F.col("word") != "")
 
 

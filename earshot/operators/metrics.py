@@ -80,10 +80,6 @@ def ranking_metrics(
     return result.withColumn("map_all_users", F.col("map") * F.col("coverage"))
 
 
-def mean_average_precision(lists: DataFrame, labels: DataFrame) -> float | None:
-    return ranking_metrics(lists, labels).first()["map"]
-
-
 def error_rate(predictions: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """(errors, n, error_rate) of a classification."""
     wrong = F.col(label).cast("double") != F.col(prediction).cast("double")

@@ -34,8 +34,9 @@ def grid(ranks=RANKS, regs=REGS, alphas=ALPHAS) -> list[Params]:
     return [Params(*point) for point in itertools.product(ranks, regs, alphas)]
 
 
-def fit_als(train: DataFrame, params: Params, seed: int = 1, blocks: int = 10, iterations: int = 10) -> ALSModel:
-    """Fit on (user_index, item_index, count). ``blocks`` should follow the cluster's cores."""
+def fit_als(train: DataFrame, params: Params, seed: int = 1, blocks: int | None = None, iterations: int = 10) -> ALSModel:
+    """Fit on (user_index, item_index, count), in as many blocks as the cluster has cores unless told."""
+    blocks = blocks or train.sparkSession.sparkContext.defaultParallelism
     scratch_root(train.sparkSession)  # ALS checkpoints there, which keeps its lineage short
     als = ALS(
         userCol="user_index",
@@ -115,5 +116,3 @@ def _board(labels: DataFrame, points: list[Params], model_for, k: int) -> DataFr
         )
     labels.unpersist()
     return labels.sparkSession.createDataFrame(rows, BOARD)
-
-__all__ = ["mean_average_precision"]

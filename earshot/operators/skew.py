@@ -9,12 +9,25 @@ from earshot.functions.hashing import spread
 from earshot.session import stored
 
 MAX_BROADCAST_ROWS = 1_500_000  # narrow rows, a key and an id: at most some 200 MB
+MAX_BROADCAST_BYTES = 256 << 20
 HOT_ROWS = 2_000_000  # a key with more rows is cut into parts of about this size
 
 
+def is_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, max_bytes: int = MAX_BROADCAST_BYTES) -> bool:
+    """Whether rows, and rows times their widest width, are within the bounds; one aggregate."""
+    widths = [F.lit(16 * len(df.columns))]
+    for name, kind in df.dtypes:
+        if kind in ("string", "binary"):
+            widths.append(F.coalesce(F.max(F.length(name)), F.lit(0)))
+        elif kind.startswith("array"):
+            widths.append(F.coalesce(F.max(F.size(name)), F.lit(0)) * 8)
+    rows, width = df.agg(F.count(F.lit(1)), sum(widths[1:], widths[0])).first()
+    return rows <= max_rows and rows * width <= max_bytes
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint when the row count is within the bound, else left to a shuffle join."""
-    return F.broadcast(df) if df.count() <= max_rows else df
+    """Broadcast hint when rows and bytes are within their bounds, else left to a shuffle join."""
+    return F.broadcast(df) if is_small(df, max_rows) else df
 
 
 def lookup_join(
@@ -32,7 +45,7 @@ def lookup_join(
     lookup row is copied to each part, and no task receives all rows of one key. Rows that are
     copies of each other hash alike; those are left to the adaptive skew join.
     """
-    if lookup.count() <= max_broadcast:
+    if is_small(lookup, max_broadcast):
         return facts.join(F.broadcast(lookup), key, how)
     n = F.count(F.lit(1))
     sizes = facts.groupBy(key).agg(F.ceil(n / hot_rows).cast("int").alias("_parts"))

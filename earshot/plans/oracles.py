@@ -80,7 +80,7 @@ PARTS = {
     "audio": f"SELECT vec_id AS track_id, {_AUDIO_COLUMNS} FROM embeddings",
     "lyr": """
         SELECT track_id, word FROM (
-          SELECT doc_id AS track_id, unnest(string_split(lower(text), ' ')) AS word FROM documents)
+          SELECT doc_id AS track_id, unnest(regexp_split_to_array(lower(text), '[\\x09-\\x0D\\x20]+')) AS word FROM documents)
         WHERE word <> ''""",
     "tagtf": "SELECT track_id, tag, count(*) AS tf FROM tags GROUP BY 1, 2",
     "lyrtf": "SELECT track_id, word, count(*) AS tf FROM lyr GROUP BY 1, 2",

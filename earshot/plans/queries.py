@@ -26,7 +26,7 @@ CUTOFFS = (10, 100, 500)
 NEIGHBOURS = 10
 PROBES = 3
 SMALL_GRID = models.grid(ranks=(5, 10), regs=(0.1, 1.0), alphas=(1.0,))
-FIT = {"iterations": 5, "blocks": 4}
+FIT = {"iterations": 10}
 
 
 def _round(*names: str) -> dict:
@@ -262,7 +262,7 @@ def als_saved_factors(spark, root):
 
 def als_grid(spark, root):
     ready = _prepared(spark, root)
-    return models.grid_search(ready.train, ready.test, SMALL_GRID, K, **FIT)
+    return models.grid_search(ready.train, ready.valid, SMALL_GRID, K, **FIT)
 
 
 def als_test_report(spark, root):

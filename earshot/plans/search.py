@@ -57,7 +57,7 @@ def compare_methods(
     for m in multipliers:
         truth = None
         for name, search in methods.items():
-            found, seconds = timed(name, search(m))
+            found, seconds = timed(name, lambda: search(m))
             truth = found if truth is None else truth
             recall = mean_recall(overfetch_recall(found, truth, k, [m], exact_k="k*m")).first()
             rows.append((name, m, recall["queries"], recall["recall"], recall["queries"] / seconds))

@@ -1,3 +1,5 @@
+import time
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -104,3 +106,26 @@ def test_method_comparison_table(vectors):
     assert {(r.method, r.multiplier) for r in rows} == {(m, n) for m in ("exact", "cells", "buckets") for n in (1, 3)}
     assert all(r.queries == 20 and 0 < r.recall <= 1 and r.queries_per_second > 0 for r in rows)
     assert all(r.recall == 1 for r in rows if r.method == "exact")
+
+
+def test_sweep_keeps_large_ids_and_multipliers(spark):
+    """Hashed 64-bit ids, and a multiplier of a thousand."""
+    big = (1 << 62) + 12345
+    rows = [(big + i, [float(i), 0.0]) for i in range(30)]
+    vectors = spark.createDataFrame(rows, "id long, features array<double>")
+    centres = spark.createDataFrame([(0, [0.0, 0.0]), (1, [20.0, 0.0])], "cell int, features array<double>")
+    queries = vectors.limit(3).withColumnRenamed("id", "query_id")
+    indexed = ann.assign_cells(vectors, centres)
+    got = ann.cell_sweep(queries, indexed, centres, 1, 1, [1, 1000]).collect()
+    asked = {r.query_id for r in queries.collect()}
+    assert {r.query_id for r in got} == asked and {r.multiplier for r in got} == {1, 1000}
+    assert all(r.id == r.query_id for r in got if r.rank == 1)
+    assert sum(r.multiplier == 1000 for r in got) == 90
+
+
+def test_the_clock_runs_while_a_search_is_built(spark):
+    def slow():
+        time.sleep(0.3)
+        return spark.range(3)
+
+    assert ann.timed("slow", slow)[1] >= 0.3

@@ -72,3 +72,8 @@ def test_input_columns(spark):
 def test_item_table_keeps_items_known_everywhere(spark):
     parts = [spark.createDataFrame([(i, i) for i in ids], f"item int, c{n} int") for n, ids in enumerate(([1, 2, 3], [2, 3], [3, 4]))]
     assert [tuple(r) for r in features.item_table("item", *parts).collect()] == [(3, 3, 3, 3)]
+
+
+def test_words_end_at_line_breaks_and_tabs(spark):
+    texts = spark.createDataFrame([(1, " One\ntwo\t two\r\n\x0bthree. \n"), (2, None), (3, "")], "item long, text string")
+    assert sorted(r.word for r in features.words(texts, "item").collect()) == ["one", "three.", "two", "two"]

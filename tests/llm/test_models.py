@@ -98,6 +98,40 @@ def test_scores_against_brute_force(spark, data, monkeypatch):
         assert -30 * r.n_tokens < r.score < 0
 
 
+def test_rarer_words_are_also_drawn_by_their_exact_counts(spark, data, monkeypatch):
+    monkeypatch.setattr(lmscore, "HOT_WORDS", 300)
+    docs = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text")
+    learned = docs.where(~lmscore.held_out())
+    language = lmscore.learn(learned, lmscore.count_words(learned), PATH)
+    monkeypatch.setattr(lmscore, "learn", lambda *_: language)
+    got = {r.doc_id: r.score for r in lmscore.score_documents(docs, PATH).collect()}
+    counts = Counter({r.word and bytes(r.word): r.n for r in lmscore.count_words(learned).collect()})
+    scorer = attention.Scorer(language.params, language.unigram, language.begins)
+    rare_known = 0
+    for doc_id, text in docs.collect():
+        words = (text or "").encode().lower().split()
+        ids, lengths, hot = language.subwords(words)
+        assert hot.tolist() == [language.hot.get(w, 0) for w in words]
+        logs = lmscore.score_ids(scorer, [np.append(ids, 0)])[0]
+        each = lmscore.word_logs(language, np.append(ids, 0), lengths, np.append(hot, language.hot[None]), logs)
+        each += math.log10(sum(language.hot.values()) / language.tokens)
+        for i in np.flatnonzero(hot == 0):
+            if counts[words[i]]:
+                each[i] = math.log10(10.0 ** each[i] + counts[words[i]] / language.tokens)
+                rare_known += 1
+        assert got[doc_id] == pytest.approx(each.sum(), rel=1e-5)
+    assert rare_known > 1000
+
+
+def test_words_encoded_together_are_encoded_alone():
+    words = [w.encode() for w in ("the", "'s", "don't", "a\u00a0b", "\u3000", "<|endoftext|>", "\u00e9t\u00e9", "12,5", "\u0120")]
+    use = lmscore.encoder(PATH).tokenizer
+    for some in (words, words[:3], words[-2:], []):
+        ids, lengths = lmscore._encode(PATH, some)
+        alone = [use.encode(" " + w.decode(), add_special_tokens=False).ids for w in some]
+        assert ids.tolist() == sum(alone, []) and lengths.tolist() == [len(x) for x in alone]
+
+
 def test_scores_awkward_rows(spark):
     docs = documents(spark)
     got = sorted(tuple(r)[:5] for r in lmscore.score_documents(docs, PATH).collect() if r.doc_id is not None)

@@ -23,7 +23,6 @@ HEADLINES = [
     "top_k_factors",
     "map_factors",
     "als_top_k",
-    "als_grid",
     "knn_exact",
     "ivf_search",
     "lsh_search",

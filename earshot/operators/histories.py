@@ -5,34 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from earshot.functions.hashing import spread
-from earshot.operators.skew import lookup_join
+from earshot.functions.hashing import key_hash
 
-MAX_VALUES = 100_000
+PARTS = 16
 
 
 def collect_parts(
-    df: DataFrame, key: str, value: str, output: str, entry: Column | None = None, max_values: int = MAX_VALUES
+    df: DataFrame, key: str, value: str, output: str, entry: Column | None = None, parts: int = PARTS
 ) -> DataFrame:
-    """(key, part, output): sorted array of the ``entry`` (default ``value``) of every key.
+    """(key, part, output): sorted arrays of the ``entry`` (default ``value``) of every key.
 
-    ``df`` has one row per (key, value). A key with more than ``max_values`` rows would end as one
-    huge row of one task; it comes out as several rows (``part`` 0, 1, ...) that together hold
-    every value.
+    ``df`` has one row per (key, value). Every value belongs to the part its hash names, whatever
+    the key and its size, so a heavy key is collected by ``parts`` tasks and the shape of the
+    result is the same at every scale. All parts of a key together hold every value;
+    ``parts=1`` gives one row per key.
     """
-    sizes = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
-    parts = sizes.where(F.col("_n") > max_values).select(key, F.ceil(F.col("_n") * 2 / max_values).alias("_parts"))
-    if parts.isEmpty():
-        parted = df.withColumn("part", F.lit(0))
-    else:
-        part = spread(F.coalesce("_parts", F.lit(1)), value)
-        parted = lookup_join(df, parts, key, how="left").withColumn("part", part)
+    part = (key_hash(value, salt="part") % parts).cast("int").alias("part")
     entry = F.col(value) if entry is None else entry
-    return parted.groupBy(key, "part").agg(F.array_sort(F.collect_list(entry)).alias(output))
+    return df.groupBy(key, part).agg(F.array_sort(F.collect_list(entry)).alias(output))
 
 
-def user_histories(
-    df: DataFrame, user: str = "user_index", item: str = "item_index", max_labels: int = MAX_VALUES
-) -> DataFrame:
+def user_histories(df: DataFrame, user: str = "user_index", item: str = "item_index", parts: int = PARTS) -> DataFrame:
     """(user, part, label): the user's distinct items, sorted."""
-    return collect_parts(df.select(user, item).distinct(), user, item, "label", max_values=max_labels)
+    return collect_parts(df.select(user, item).distinct(), user, item, "label", parts=parts)

@@ -20,11 +20,16 @@ def per_user_metrics(
     min(labels, k), ``precision_at_k`` by k, ``recall_at_k`` by the labels; ``ndcg_at_k`` has
     binary gains. ``by`` names extra list columns, such as the model, to be scored side by side.
     ``lists`` is read twice, so store lists that are expensive to compute.
+
+    Lists without a ``user_index`` are the same for everybody, such as the most popular items: all
+    users with labels are scored, and the entries are matched with the labels as they are.
     """
     who = [*by, "user_index"]
     wanted = labels.select("user_index", "item_index").distinct()
     sizes = wanted.groupBy("user_index").agg(F.count("item_index").alias("n_labels"))  # null item: none
-    found = lists.select(*who, "item_index", "position").join(wanted, ["user_index", "item_index"])
+    common = "user_index" not in lists.columns
+    shared = ["item_index"] if common else ["user_index", "item_index"]
+    found = wanted.join(lists.select(*by, *shared, "position"), shared)
     nth = F.row_number().over(Window.partitionBy(*who).orderBy("position"))
     gains = found.withColumn("precision", nth / F.col("position"))
 
@@ -36,7 +41,7 @@ def per_user_metrics(
             F.count(F.when(inside, 1)).alias(f"hits_{k}"),
             F.sum(F.when(inside, 1 / F.log2(F.col("position") + 1))).alias(f"dcg_{k}"),
         ]
-    scored = lists.select(*who).distinct().join(sizes, "user_index")
+    scored = _everyone(lists, sizes, by) if common else lists.select(*who).distinct().join(sizes, "user_index")
     users = scored.join(gains.groupBy(*who).agg(*sums), who, "left")
 
     n = F.col("n_labels")
@@ -56,6 +61,13 @@ def per_user_metrics(
     return users.select(*columns)
 
 
+def _everyone(lists: DataFrame, sizes: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """Every user once for each common list; for none when there is no list."""
+    groups = lists.agg(F.collect_set(F.struct(F.lit(1).alias("_"), *by))).scalar()
+    rows = sizes.withColumn("_groups", groups).select(*sizes.columns, F.explode("_groups").alias("_group"))
+    return rows.select(*[F.col("_group")[c].alias(c) for c in by], *sizes.columns)
+
+
 def _share(total: str, whole: Column) -> Column:
     """total / whole, and 0 for users without labels or hits."""
     return F.when(F.col("n_labels") > 0, F.coalesce(F.col(total), F.lit(0)) / whole).otherwise(F.lit(0.0))

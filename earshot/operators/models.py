@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import itertools
 import time
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,6 +23,8 @@ ALPHAS = (0.1, 1.0, 5.0)
 TRAIN_SHARE = 0.02
 MODEL_NAME = "model_reg_{reg}_rank{rank}_a_{alpha}_{share}"
 
+AT_ONCE = 6  # grid points under way together; each is a chain of short jobs that leaves cores idle
+
 
 @dataclass(frozen=True)
 class Params:
@@ -80,8 +84,7 @@ def train_grid(train: DataFrame, points: list[Params], root: str, share: float =
     """Fit and save a model for every grid point over one cached frame."""
     train = train.select("user_index", "item_index", "count").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        for params in points:
-            save_model(fit_als(train, params, **fit), model_path(root, params, share))
+        _together(train.sparkSession, lambda p: save_model(fit_als(train, p, **fit), model_path(root, p, share)), points)
     finally:
         train.unpersist()
 
@@ -101,18 +104,27 @@ def grid_search(train: DataFrame, labels: DataFrame, points: list[Params], k: in
         train.unpersist()
 
 
+def _together(spark: SparkSession, work: Callable, points: list[Params]) -> list:
+    """``work`` of every point, several at once on the driver's threads; results in order."""
+    scratch_root(spark)  # set once, before threads need it
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        return list(pool.map(inheritable_thread_target(spark)(work), points))
+
+
 def _board(labels: DataFrame, points: list[Params], model_for, k: int) -> DataFrame:
     labels = labels.select("user_index", "item_index").persist(StorageLevel.MEMORY_AND_DISK)
-    rows = []
-    for position, params in enumerate(points):
+
+    def score(params: Params) -> tuple:
         start = time.perf_counter()
         model = model_for(params)
         fitted = time.perf_counter()
         lists = stored(recommend(model.userFactors, model.itemFactors, labels, k), "lists")
         result = ranking_metrics(lists, labels).first()
         done = time.perf_counter()
-        rows.append(
-            (position, params.rank, params.reg, params.alpha, result["map"], result["coverage"], fitted - start, done - fitted)
-        )
-    labels.unpersist()
-    return labels.sparkSession.createDataFrame(rows, BOARD)
+        return params.rank, params.reg, params.alpha, result["map"], result["coverage"], fitted - start, done - fitted
+
+    try:
+        rows = _together(labels.sparkSession, score, points)
+    finally:
+        labels.unpersist()
+    return labels.sparkSession.createDataFrame([(i, *row) for i, row in enumerate(rows)], BOARD)

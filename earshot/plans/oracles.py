@@ -7,6 +7,7 @@ in order. Queries whose result depends on a fitted model have no twin.
 from __future__ import annotations
 
 from earshot.functions.hashing import threshold
+from earshot.operators.histories import PARTS as HISTORY_PARTS
 from earshot.operators.models import TRAIN_SHARE
 from earshot.operators.splits import TEST_SHARE, VALID_SHARE
 from earshot.sources.tables import AUDIO, TIMBRE
@@ -249,8 +250,9 @@ ORACLES = {
     ),
     "user_histories": _sql(
         [*_INDEXED, "xtrain", "labels"],
-        """SELECT user_index, 0::BIGINT AS part, count(DISTINCT item_index) AS n_labels,
-                  array_to_string(list_sort(list(DISTINCT item_index)), ',') AS label FROM labels GROUP BY 1""",
+        f"""SELECT user_index, {_hash("'part'", 'item_index')} % {HISTORY_PARTS} AS part,
+                   count(DISTINCT item_index) AS n_labels,
+                   array_to_string(list_sort(list(DISTINCT item_index)), ',') AS label FROM labels GROUP BY 1, 2""",
     ),
     "popularity_top_k": _sql(_POPULAR, "SELECT item_index, score, position FROM popular"),
     "recommended_items": _sql(
@@ -340,7 +342,8 @@ ORACLES = {
     ),
     "item_tags": _sql(
         ["tags", "tagtf"],
-        "SELECT track_id, 0::BIGINT AS part, string_agg(tag || '=' || tf, ',' ORDER BY tag) AS tags FROM tagtf GROUP BY 1",
+        f"""SELECT track_id, {_hash("'part'", 'tag')} % {HISTORY_PARTS} AS part,
+                   string_agg(tag || '=' || tf, ',' ORDER BY tag) AS tags FROM tagtf GROUP BY 1, 2""",
     ),
     "frequent_tags": _sql(
         ["tags"], "SELECT tag, count(*) AS n FROM tags GROUP BY 1 HAVING count(*) >= 100"
@@ -405,3 +408,4 @@ ORACLES = {
         per_user=_per_user("lists", "cold_labels", by="model"),
     ),
 }
+ORACLES["log_counts_by_statement"] = ORACLES["log_counts"]

@@ -10,12 +10,12 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earshot.functions.counts import drop_low, log_compress
+from earshot.functions.counts import drop_low, log_compress, modify
 from earshot.functions.hashing import drawn
 from earshot.operators import ann, coldstart, features, histories, metrics, models, recommend, splits
 from earshot.operators.indexing import apply_index, fit_index
 from earshot.plans import study
-from earshot.plans.coldstart import Content, compare_factors, predicted_factors, raw_features, training_parts
+from earshot.plans.coldstart import Content, cold_start_trial, compare_factors, predicted_factors, raw_features, training_parts
 from earshot.plans.prepare import Prepared, count_variants, prepare
 from earshot.plans.search import compare_methods
 from earshot.session import scratch_path, stored
@@ -25,7 +25,7 @@ K = recommend.LIST_LENGTH
 CUTOFFS = (10, 100, 500)
 NEIGHBOURS = 10
 PROBES = 3
-SMALL_GRID = models.grid(ranks=(5, 10), regs=(0.1, 1.0), alphas=(1.0,))
+SOME_POINTS = models.grid(ranks=(5, 10), regs=(0.1, 1.0), alphas=(1.0,))  # where the query repeats the search
 FIT = {"iterations": 10}
 
 
@@ -91,6 +91,13 @@ def log_counts(spark, root):
     )
 
 
+def log_counts_by_statement(spark, root):
+    """The same modification given as SQL text."""
+    statement = "SELECT user_index, item_index, log10(count + 1) AS count FROM __THIS__"
+    train = modify(_prepared(spark, root).train, statement)
+    return train.withColumns({**_big("user_index", "item_index"), **_round("count")})
+
+
 def drop_low_counts(spark, root):
     return drop_low(_prepared(spark, root).train).withColumns(_big("user_index", "item_index"))
 
@@ -166,14 +173,14 @@ def popularity_top_k(spark, root):
     return recommend.popular_items(_prepared(spark, root).train, K).withColumns(_big("item_index", "position"))
 
 
-def _popular_lists(ready: Prepared, labels: DataFrame) -> DataFrame:
-    return recommend.recommend_popular(recommend.popular_items(ready.train, K), labels)
+def _popular(ready: Prepared) -> DataFrame:
+    return stored(recommend.popular_items(ready.train, K), "popular")
 
 
 def recommended_items(spark, root):
     """Nested recommendations and the projection of one of their fields."""
     ready = _prepared(spark, root)
-    nested = recommend.nest(_popular_lists(ready, ready.valid))
+    nested = recommend.nest(recommend.recommend_popular(_popular(ready), ready.valid))
     items = nested.select("user_index", F.col("recommendations.item_index").alias("items"))
     rows = items.select("user_index", F.posexplode("items").alias("at", "item_index"))
     return rows.withColumns(_big("user_index", "at", "item_index"))
@@ -186,21 +193,21 @@ def _test_labels(ready: Prepared) -> DataFrame:
 def map_popularity(spark, root):
     ready = _prepared(spark, root)
     labels = _test_labels(ready)
-    result = metrics.ranking_metrics(_popular_lists(ready, labels), labels)
+    result = metrics.ranking_metrics(_popular(ready), labels)
     return result.withColumns(_round("map", "coverage", "map_all_users"))
 
 
 def ranking_metrics(spark, root):
     ready = _prepared(spark, root)
     labels = _test_labels(ready)
-    result = metrics.ranking_metrics(_popular_lists(ready, labels), labels, CUTOFFS)
+    result = metrics.ranking_metrics(_popular(ready), labels, CUTOFFS)
     return result.withColumns(_round(*[c for c in result.columns if c != "users"]))
 
 
 def user_average_precision(spark, root):
     ready = _prepared(spark, root)
     labels = _test_labels(ready)
-    result = metrics.per_user_metrics(_popular_lists(ready, labels), labels)
+    result = metrics.per_user_metrics(_popular(ready), labels)
     return result.withColumns({**_big("user_index", "n_labels", "hits"), **_round("ap")})
 
 
@@ -262,17 +269,17 @@ def als_saved_factors(spark, root):
 
 def als_grid(spark, root):
     ready = _prepared(spark, root)
-    return models.grid_search(ready.train, ready.valid, SMALL_GRID, K, **FIT)
+    return models.grid_search(ready.train, ready.valid, models.grid(), K, **FIT)
 
 
 def als_test_report(spark, root):
     ready = _prepared(spark, root)
-    board = models.grid_search(ready.train, ready.valid, SMALL_GRID[:2], K, **FIT)
+    board = models.grid_search(ready.train, ready.valid, SOME_POINTS, K, **FIT)
     return study.test_report(ready, board, CUTOFFS, **FIT)
 
 
 def als_count_variants(spark, root):
-    return study.variant_study(_prepared(spark, root), SMALL_GRID[:1], K, **FIT)
+    return study.variant_study(_prepared(spark, root), SOME_POINTS, K, **FIT)
 
 
 def count_variant_rows(spark, root):
@@ -489,6 +496,13 @@ def cold_vs_full(spark, root):
     return result.withColumns(_round("map", "coverage", "map_all_users"))
 
 
+def cold_start(spark, root):
+    """Items held out before training, served from their content, next to the model that knew them."""
+    ready = _prepared(spark, root)
+    trial = cold_start_trial(ready, _content(spark, root), models.Params(10, 0.1, 1.0), **FIT)
+    return trial.report(_test_labels(ready), K, CUTOFFS)
+
+
 def kmeans_labels(spark, root):
     labels, _ = coldstart.cluster_factors(tables.factors(spark, root))
     return labels
@@ -538,6 +552,7 @@ QUERIES = {
         side_table_index,
         artist_index,
         log_counts,
+        log_counts_by_statement,
         drop_low_counts,
         item_clustered_export,
         csv_matrix,
@@ -560,7 +575,6 @@ QUERIES = {
         map_factors,
         als_top_k,
         als_saved_factors,
-        als_grid,
         als_test_report,
         als_count_variants,
         count_variant_rows,
@@ -587,10 +601,12 @@ QUERIES = {
         cluster_training_table,
         patch_factors,
         cold_vs_full,
+        cold_start,
         kmeans_labels,
         classifier_eval,
         classifier_eval_full,
         forest_grid_best,
         predicted_patch,
+        als_grid,  # 54 fits
     )
 }

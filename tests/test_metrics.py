@@ -68,3 +68,17 @@ def test_error_rate_and_best_row(spark):
     assert tuple(metrics.error_rate(df).first()) == (2, 4, 0.5)
     board = spark.createDataFrame([(0, 0.1), (4, 0.5), (1, 0.5), (2, None)], "position int, score double")
     assert metrics.best_row(board, "score").first().position == 1
+
+
+def test_a_common_list_scores_like_the_same_list_for_every_user(spark):
+    labels = spark.createDataFrame([(1, 10), (1, 11), (2, 30), (2, 30), (3, None), (4, 12)], "user_index int, item_index int")
+    common = spark.createDataFrame([("a", 10, 1), ("a", 12, 2), ("b", 11, 1)], "model string, item_index int, position int")
+    users = labels.select("user_index").distinct()
+    expanded = common.join(users, how="cross")
+    for by in (("model",), ()):
+        lists = [df if by else df.where("model = 'a'").drop("model") for df in (common, expanded)]
+        got, want = (sorted(map(tuple, metrics.per_user_metrics(df, labels, (1, 2), by).collect())) for df in lists)
+        assert got == want and len(got) == (8 if by else 4)
+        plan = metrics.per_user_metrics(lists[0], labels, (1, 2), by)._jdf.queryExecution().toString()
+        assert "CartesianProduct" not in plan
+    assert metrics.per_user_metrics(common.limit(0), labels, by=("model",)).count() == 0

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from earshot.functions.counts import VARIANTS, drop_low, log_compress
+from earshot.functions.counts import VARIANTS, drop_low, log_compress, modify
 from earshot.functions.hashing import HASH_RANGE, drawn, key_hash
 from earshot.operators import splits
 from earshot.operators.histories import user_histories
@@ -70,17 +70,18 @@ def test_query_sample_is_distinct_and_stable(spark):
 
 def test_histories_hold_distinct_sorted_items(spark):
     df = spark.createDataFrame([(1, 5), (1, 3), (1, 5), (2, 7)], "user_index int, item_index int")
-    assert rows(user_histories(df)) == [(1, 0, [3, 5]), (2, 0, [7])]
+    assert rows(user_histories(df, parts=1)) == [(1, 0, [3, 5]), (2, 0, [7])]
 
 
 def test_long_histories_come_in_parts_and_lose_nothing(spark):
     one = spark.range(5000).select(F.lit(1).alias("user_index"), F.col("id").cast("int").alias("item_index"))
     df = one.union(spark.createDataFrame([(2, 7)], "user_index int, item_index int"))
-    found = user_histories(df, max_labels=1000).collect()
+    found = user_histories(df, parts=10).collect()
     hot = [r for r in found if r.user_index == 1]
-    assert len(hot) > 1 and max(len(r.label) for r in hot) <= 1000
+    assert [r.part for r in sorted(hot, key=lambda r: r.part)] == list(range(10)) and max(len(r.label) for r in hot) < 600
     assert sorted(i for r in hot for i in r.label) == list(range(5000))
-    assert [(r.part, r.label) for r in found if r.user_index == 2] == [(0, [7])]
+    small = [(r.part, r.label) for r in found if r.user_index == 2]
+    assert small == [(r.part, [7]) for r in hot if 7 in r.label]  # the part follows from the value alone
 
 
 def test_count_variants(spark):
@@ -88,4 +89,5 @@ def test_count_variants(spark):
     assert [r["count"] for r in log_compress(df).orderBy("id").collect()][1:] == [1.0, 2.0]
     assert [r.id for r in drop_low(df).orderBy("id").collect()] == [2, 3]
     assert [r.id for r in drop_low(df, above=9).collect()] == [3]
+    assert [r.id for r in modify(df, "SELECT id FROM __THIS__ WHERE count > 9").collect()] == [3]
     assert list(VARIANTS) == ["index", "log", "drop"]

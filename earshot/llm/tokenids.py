@@ -46,7 +46,11 @@ class PieceEncoder:
             raise ValueError("pieces can only be cut for a byte-level vocabulary")
         self.kept: dict[str, bytes] = {"": b""}
         self.max_kept, self.max_piece = max_kept, max_piece
-        self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        size = self.tokenizer.get_vocab_size()
+        self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
+        self.begins = np.zeros(size, bool)  # by id: does it begin with a blank?
+        for token, i in self.tokenizer.get_vocab().items():
+            self.begins[i] = token.startswith("\u0120")  # how a byte-level vocabulary writes a blank
 
     def pieces(self, text: str) -> list[str]:
         if "\0" in text:
@@ -55,23 +59,48 @@ class PieceEncoder:
             return CUT.sub("\0 ", text).split("\0")
         return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
 
+    def encode_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces, one behind the other, and how many each has.
+
+        Printable pieces of one word behind one blank are encoded together: nothing merges across
+        their blanks, and the ids that begin with a blank tell where each starts.
+        """
+        ids, lengths = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for i in range(0, len(pieces), 512):
+            some = pieces[i : i + 512]
+            if all(len(p) > 1 and p[0] == " " and p.isprintable() and p.count(" ") == 1 for p in some):
+                found = np.array(self.tokenizer.encode_batch_fast(["".join(some)], add_special_tokens=False)[0].ids, np.int64)
+                starts = np.flatnonzero(self.begins[found])
+                if len(starts) == len(some) and starts[0] == 0:
+                    ids.append(found)
+                    lengths.append(np.diff(starts, append=len(found)))
+                    continue
+            each = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+            ids += [np.array(x, np.int64) for x in each]
+            lengths.append(np.array([len(x) for x in each], np.int64))
+        return np.concatenate(ids), np.concatenate(lengths)
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         cut = [self.pieces(t) for t in texts]
         if len(self.kept) > self.max_kept:
             self.kept = {"": b""}
-        new: dict[str, bytes] = {}
-        missing = list({p for pieces in cut for p in pieces if p not in self.kept})
-        for i in range(0, len(missing), 4096):
-            some = missing[i : i + 4096]
-            for piece, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                ids = np.array(found.ids, self.dtype).tobytes()
-                (self.kept if len(piece) <= self.max_piece else new)[piece] = ids
+        missing = sorted(set().union(*cut).difference(self.kept), key=_alone)
+        ids, lengths = self.encode_pieces(missing)
+        raw, ends = ids.astype(self.dtype).tobytes(), (np.cumsum(lengths) * self.dtype.itemsize).tolist()
+        found = dict(zip(missing, (raw[a:b] for a, b in zip([0, *ends], ends))))
+        long = {p: found.pop(p) for p in missing if len(p) > self.max_piece}
+        self.kept.update(found)
         get = self.kept.__getitem__
-        if new:
-            get = lambda p: new[p] if p in new else self.kept[p]
+        if long:
+            get = lambda p: long[p] if p in long else self.kept[p]
         return [np.frombuffer(b"".join(map(get, pieces)), self.dtype) for pieces in cut]
 
 
+def _alone(piece: str) -> bool:
+    """Pieces that are not a printable word behind a blank come last, so that they share few batches with others."""
+    return piece[:1] != " " or not piece.isprintable()
+
+
 _ENCODERS: dict[str, PieceEncoder] = {}
 
 

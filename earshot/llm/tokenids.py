@@ -44,7 +44,8 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         if '"type":"ByteLevel"' not in re.sub(r"\s", "", self.tokenizer.to_str()).partition('"post_processor"')[0]:
             raise ValueError("pieces can only be cut for a byte-level vocabulary")
-        self.kept: dict[str, bytes] = {"": b""}
+        self.kept: dict[str, bytes] = {"": b""}  # two generations: what the older one still gives moves to the newer
+        self.older: dict[str, bytes] = {}
         self.max_kept, self.max_piece = max_kept, max_piece
         size = self.tokenizer.get_vocab_size()
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
@@ -55,7 +56,8 @@ class PieceEncoder:
     def pieces(self, text: str) -> list[str]:
         if "\0" in text:
             return [text]
-        if UNSURE.search(text):
+        line = text.replace("\n", " ")  # printable: no white space but blanks, so no pattern is needed
+        if "  " in line if line.isprintable() else UNSURE.search(text):
             return CUT.sub("\0 ", text).split("\0")
         return text.replace(" ", "\0 ").replace("\n", "\0\n\0").split("\0")
 
@@ -82,9 +84,12 @@ class PieceEncoder:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         cut = [self.pieces(t) for t in texts]
-        if len(self.kept) > self.max_kept:
-            self.kept = {"": b""}
-        missing = sorted(set().union(*cut).difference(self.kept), key=_alone)
+        if len(self.kept) > self.max_kept // 2:
+            self.kept, self.older = {"": b""}, self.kept
+        unseen = set().union(*cut).difference(self.kept)
+        new = unseen.difference(self.older)
+        self.kept.update((p, self.older[p]) for p in unseen.difference(new))
+        missing = sorted(new, key=_alone)
         ids, lengths = self.encode_pieces(missing)
         raw, ends = ids.astype(self.dtype).tobytes(), (np.cumsum(lengths) * self.dtype.itemsize).tolist()
         found = dict(zip(missing, (raw[a:b] for a, b in zip([0, *ends], ends))))

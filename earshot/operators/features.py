@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from earshot.functions.vectors import sparse_vector
+from earshot.operators.indexing import number_rows
 from earshot.operators.skew import lookup_join
 
 # Vocabulary limits and the inputs of the item vector.
@@ -28,14 +29,18 @@ def term_counts(terms: DataFrame, item: str, term: str) -> DataFrame:
     return terms.groupBy(item, term).agg(F.count(F.lit(1)).alias("tf"))
 
 
-def vocabulary(counts: DataFrame, term: str, max_terms: int = MAX_TERMS, min_items: int = MIN_ITEMS) -> DataFrame:
+def vocabulary(counts: DataFrame, term: str, max_terms: int | None = MAX_TERMS, min_items: int = MIN_ITEMS) -> DataFrame:
     """(term, total, items, term_index): the most used terms found in at least ``min_items`` items.
 
+    With ``max_terms`` None all of them, numbered by a distributed sort.
     ``counts`` is the output of ``term_counts``. Ties go by the term, so the positions are stable.
     """
     by_use = [F.desc("total"), F.asc(term)]
     totals = counts.groupBy(term).agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("items"))
-    top = totals.where(F.col("items") >= min_items).orderBy(*by_use).limit(max_terms)
+    ordered = totals.where(F.col("items") >= min_items).orderBy(*by_use)
+    if max_terms is None:
+        return number_rows(ordered, "term_index", f"vocabulary-{term}")
+    top = ordered.limit(max_terms)
     position = F.row_number().over(Window.orderBy(*by_use)) - 1  # over the max_terms rows of the limit
     return top.withColumn("term_index", position)
 
@@ -47,7 +52,7 @@ def term_vectors(
 
     At most ``size`` entries meet in one row, because repeated terms were counted before.
     """
-    known = counts.join(F.broadcast(vocab.select(term, "term_index")), term, "left")
+    known = lookup_join(counts, vocab.select(term, "term_index"), term, how="left")
     entry = F.when(F.col("term_index").isNotNull(), F.struct("term_index", F.col("tf").cast("double").alias("tf")))
     rows = known.groupBy(item).agg(F.array_sort(F.collect_list(entry)).alias("entries"))
     return rows.select(item, sparse_vector(F.col("entries.term_index"), F.col("entries.tf"), size).alias(output))
@@ -84,6 +89,19 @@ def assemble(df: DataFrame, inputs: list[str], output: str = "raw") -> DataFrame
     return VectorAssembler(inputCols=inputs, outputCol=output, handleInvalid="skip").transform(df)
 
 
+def scaled_entries(entries: DataFrame, item: str, n: int) -> DataFrame:
+    """Non-zero (item, position, value) of ``n`` vectors, divided by their sample deviation by position.
+
+    An entry that is not there is zero, so nothing is made dense; constant positions become 0 and go.
+    """
+    m, mean = F.count(F.lit(1)), F.avg("value")
+    square = F.var_pop("value") * m + mean * mean * m * (F.lit(n) - m) / F.lit(max(n, 1))
+    deviation = F.sqrt(square / F.lit(max(n - 1, 1))).alias("deviation")
+    used = entries.groupBy("position").agg(deviation).where("deviation > 0")
+    scaled = lookup_join(entries.where("value <> 0"), used, "position")
+    return scaled.select(item, "position", (F.col("value") / F.col("deviation")).alias("value"))
+
+
 def fit_scaler(df: DataFrame, raw: str = "raw", output: str = "features"):
     """Divide by the sample standard deviation without centring; constant columns become 0."""
     return StandardScaler(inputCol=raw, outputCol=output, withStd=True, withMean=False).fit(df)

@@ -91,7 +91,7 @@ PARTS = {
         FROM tagtf GROUP BY tag HAVING count(*) >= 2 QUALIFY term_index < 5000""",
     "lyrvoc": """
         SELECT word, row_number() OVER (ORDER BY sum(tf) DESC, word) - 1 AS term_index
-        FROM lyrtf GROUP BY word HAVING count(*) >= 2 QUALIFY term_index < 5000""",
+        FROM lyrtf GROUP BY word HAVING count(*) >= 2""",
     "shortrows": f"""
         SELECT track_id, {', '.join(_INPUTS)} FROM meta JOIN audio USING (track_id)
         WHERE track_id IN (SELECT track_id FROM tags) AND track_id IN (SELECT track_id FROM lyr)""",
@@ -193,7 +193,7 @@ _FULL_ENTRIES = f"""
       SELECT track_id, unnest([{', '.join(f"{c}::DOUBLE" for c in _INPUTS)}]) AS value,
              unnest(range({len(_INPUTS)})) AS position FROM okrows
       UNION ALL SELECT track_id, tf::DOUBLE, {len(_INPUTS)} + term_index FROM lyrtf JOIN lyrvoc USING (word) SEMI JOIN okrows USING (track_id)
-      UNION ALL SELECT track_id, tf::DOUBLE, {len(_INPUTS)} + 5000 + term_index FROM tagtf JOIN tagvoc USING (tag) SEMI JOIN okrows USING (track_id))
+      UNION ALL SELECT track_id, tf::DOUBLE, {len(_INPUTS)} + (SELECT count(*) FROM lyrvoc) + term_index FROM tagtf JOIN tagvoc USING (tag) SEMI JOIN okrows USING (track_id))
 """
 
 ORACLES = {
@@ -376,8 +376,8 @@ ORACLES = {
     "full_features": _sql(
         ["tags", "meta", "audio", "lyr", "tagtf", "lyrtf", "tagvoc", "lyrvoc", "shortrows"],
         """SELECT track_id, position, round(value / sqrt((sq - s * s / n) / (n - 1)), 6) AS value
-           FROM entries JOIN (SELECT position, sum(value * value) AS sq, sum(value) AS s, max(total) AS n
-                              FROM entries, (SELECT count(*) AS total FROM okrows) GROUP BY 1) USING (position)
+           FROM entries JOIN (SELECT position, sum(value * value) AS sq, sum(value) AS s, (SELECT count(*) FROM okrows) AS n
+                              FROM entries GROUP BY 1) USING (position)
            WHERE value <> 0 AND (sq - s * s / n) > 1e-9""",
         okrows="SELECT * FROM shortrows WHERE " + " AND ".join(f"{c} IS NOT NULL" for c in _INPUTS),
         entries=_FULL_ENTRIES.format("value, position::BIGINT AS position"),

@@ -447,11 +447,7 @@ def scaled_features(spark, root):
 
 def full_features(spark, root):
     """Non-zero entries of the full scaled vector: scalars, lyrics terms, tag terms."""
-    content = _content(spark, root)
-    raw = stored(raw_features(content, full=True), "features")
-    scaled = features.fit_scaler(raw).transform(raw)
-    entries = scaled.select("track_id", F.posexplode(vector_to_array("features")).alias("position", "value"))
-    return entries.where("value <> 0").withColumns({**_big("position"), **_round("value")})
+    return _content(spark, root).full_entries().withColumns(_round("value"))
 
 
 # ---- cold start -------------------------------------------------------------------------------

@@ -1,4 +1,5 @@
 import math
+import statistics
 
 import pytest
 from pyspark.ml.feature import CountVectorizer
@@ -22,6 +23,21 @@ def test_vocabulary_order_and_minimum(counts):
     assert [(r.total, r["items"]) for r in vocab] == [(3, 2), (2, 2), (2, 2), (2, 2)]
     assert [r.tag for r in features.vocabulary(counts, "tag", max_terms=2).orderBy("term_index").collect()] == ["b", "a"]
     assert features.vocabulary(counts, "tag", min_items=1).count() == 5
+    whole = features.vocabulary(counts, "tag", max_terms=None)
+    assert whole.columns == ["tag", "total", "items", "term_index"]
+    assert [(r.term_index, r.tag) for r in whole.orderBy("term_index").collect()] == list(enumerate(["b", "a", "q", "z"]))
+
+
+def test_scaled_entries_count_absent_values_as_zero(spark):
+    dense = [[1.0, 5.0, 0.0, 0.0], [2.0, 5.0, 3.0, 0.0], [4.0, 5.0, 0.0, 0.0]]
+    rows = [(i, p, v) for i, row in enumerate(dense) for p, v in enumerate(row) if v]
+    entries = spark.createDataFrame(rows, "item int, position long, value double")
+    found = {(r.item, r.position): r.value for r in features.scaled_entries(entries, "item", 3).collect()}
+    deviation = [statistics.stdev(column) for column in zip(*dense)]
+    expected = {(i, p): v / deviation[p] for i, p, v in rows if deviation[p]}
+    assert found == pytest.approx(expected)
+    one = features.scaled_entries(entries.where("item = 0"), "item", 1)
+    assert one.count() == 0 and features.scaled_entries(entries.limit(0), "item", 0).count() == 0
 
 
 def test_term_vectors_keep_items_without_vocabulary(counts):

@@ -17,7 +17,7 @@ an empty table gives an empty result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import repeat
 
 import numpy as np
@@ -147,15 +147,15 @@ def near_duplicates(
     return marked.join(grouped.join(smallest, "group").drop("least"), "fp")
 
 
-def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with one document per component: the smallest id, then the smallest row hash.
+def keep_one(docs: DataFrame, find: Callable[..., DataFrame] = near_duplicates, **options) -> DataFrame:
+    """``docs`` with one document per component of ``find``: the smallest id, then the smallest row hash.
 
     Decisions are taken on narrow rows; the texts are shuffled once, to meet the keys of the
     documents that stay.
     """
     columns = docs.columns
     keyed = docs.select("*", *row_key(columns))
-    found = near_duplicates(keyed, ("doc_id", "_k1", "_k2"), **options)
+    found = find(keyed, ("doc_id", "_k1", "_k2"), **options)
     order = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_k1", "_k2")
     chosen = found.groupBy("group").agg(F.min(order).alias("o")).select("o._k1", "o._k2")
     return keyed.join(chosen, ["_k1", "_k2"], "left_semi").dropDuplicates(["_k1", "_k2"]).select(*columns)

@@ -1,9 +1,11 @@
 """Licence recognition by sentences: known sentences become identifiers, and sequences of
 identifiers are matched against ordered licence rules.
 
-A text is cut into sentences at line ends and behind ``. ! ? ;`` that white space follows. A
-sentence is normalised (lower case, every run of other characters than letters and digits one
-blank) and looked up. Rules are tried in order at each known sentence; the first whose identifiers
+A text is cut into pieces at line ends and behind ``. ! ? ; :`` that white space follows. A piece is
+normalised (lower case, every run of other characters than letters and digits, so comment marks
+too, one blank). A sentence is the longest run of pieces that is known, within a paragraph and up
+to a piece that ends in ``. ! ? ;``, so it may be wrapped over lines; a piece that begins none is an
+unknown sentence, or nothing if it is the number of a list. Rules are tried in order at each known sentence; the first whose identifiers
 follow each other there names the licence, and the search goes on behind it. Known sentences that
 fit no rule are reported as ``unmatched``. An unknown sentence breaks a sequence.
 
@@ -84,8 +86,11 @@ RULES = [
     (("ccby4",), "CC-BY-4.0"),
 ]
 
-HINTS = ("licen", "cc by", "cc-by", "copyright", "redistribut", "free software", "permission")  # one is in every known sentence
-SENTENCE_END = re.compile(r"\n|(?<=[.!?;:])\s")
+HINTS = ("licen", "copyright", "redistribut", "program", "permission")  # one is in every known sentence; single words, as lines may be wrapped
+PIECE_END = re.compile(r"(?<=[.!?;:])\s")
+LIST_NUMBER = re.compile(r"\W*[0-9]{1,2}[.):]\s*")
+COMMENT_WORD = re.compile(r"\s*@?(?:rem|dnl)\s")  # marks of letters; the others fall to normalise()
+LONGEST = max(map(len, SENTENCES))
 _OTHER = re.compile(r"[^a-z0-9]+")
 
 
@@ -93,11 +98,41 @@ def normalise(sentence: str) -> str:
     return _OTHER.sub(" ", sentence.lower()).strip()
 
 
+def _pieces(text: str) -> list[tuple[str, bool, bool]]:
+    """(normalised, whether a sentence ends here, whether it is a list number) of every non-empty piece."""
+    pieces = []
+    for line in text.split("\n"):
+        blank = True
+        if comment := COMMENT_WORD.match(line):
+            line = line[comment.end() :]
+        for i, part in enumerate(PIECE_END.split(line)):
+            if words := normalise(part):
+                pieces.append((words, part.rstrip().endswith((".", "!", "?", ";")), not i and LIST_NUMBER.fullmatch(part) is not None))
+                blank = False
+        if blank and pieces:
+            pieces[-1] = (pieces[-1][0], True, pieces[-1][2])
+    return pieces
+
+
 def sentence_ids(text: str | None) -> list[str | None]:
     """The identifier of every non-empty sentence, None for an unknown one."""
     if not text or not any(h in (low := text.lower()) for h in HINTS):
         return []
-    return [SENTENCES.get(s) for s in map(normalise, SENTENCE_END.split(low)) if s]
+    pieces, ids, at = _pieces(low), [], 0
+    while at < len(pieces):
+        run, found, behind = "", None, at + 1
+        for end in range(at, len(pieces)):
+            run = f"{run} {pieces[end][0]}" if run else pieces[end][0]
+            if len(run) > LONGEST:
+                break
+            if run in SENTENCES:
+                found, behind = SENTENCES[run], end + 1
+            if pieces[end][1]:
+                break
+        if found or not pieces[at][2]:
+            ids.append(found)
+        at = behind
+    return ids
 
 
 def match_rules(ids: list[str | None]) -> tuple[list[str], list[str]]:

@@ -25,7 +25,6 @@ K = recommend.LIST_LENGTH
 CUTOFFS = (10, 100, 500)
 NEIGHBOURS = 10
 PROBES = 3
-SOME_POINTS = models.grid(ranks=(5, 10), regs=(0.1, 1.0), alphas=(1.0,))  # where the query repeats the search
 FIT = {"iterations": 10}
 
 
@@ -274,12 +273,12 @@ def als_grid(spark, root):
 
 def als_test_report(spark, root):
     ready = _prepared(spark, root)
-    board = models.grid_search(ready.train, ready.valid, SOME_POINTS, K, **FIT)
+    board = models.grid_search(ready.train, ready.valid, models.grid(), K, **FIT)
     return study.test_report(ready, board, CUTOFFS, **FIT)
 
 
 def als_count_variants(spark, root):
-    return study.variant_study(_prepared(spark, root), SOME_POINTS, K, **FIT)
+    return study.variant_study(_prepared(spark, root), models.grid(), K, **FIT)
 
 
 def count_variant_rows(spark, root):
@@ -523,10 +522,13 @@ def classifier_eval_full(spark, root):
 
 
 def forest_grid_best(spark, root):
-    parts = _parts(spark, root)
-    grid = coldstart.forest_grid(depths=(5, 10), trees=(5, 10))
-    report, _ = coldstart.compare_classifiers(parts.train, parts.valid, parts.test, grid)
-    return coldstart.best_classifier(report)
+    """The best forest of the whole grid, for the short and for the full features."""
+    best = {}
+    for name, full in (("short", False), ("full", True)):
+        parts = _parts(spark, root, full)
+        report, _ = coldstart.compare_classifiers(parts.train, parts.valid, parts.test, coldstart.forest_grid())
+        best[name] = coldstart.best_classifier(report)
+    return study.stack(best, "feature_set")
 
 
 def predicted_patch(spark, root):

@@ -1,0 +1,34 @@
+"""The registered searches run over the whole grids."""
+
+from types import SimpleNamespace
+
+from earshot.operators import coldstart, models
+from earshot.plans import queries, study
+
+
+def test_als_queries_search_every_point(spark, monkeypatch):
+    asked = []
+    search = lambda train, labels, points, *a, **b: asked.append(points) or spark.range(1)
+    labels = spark.createDataFrame([(1, 2)], "user_index long, item_index long")
+    monkeypatch.setattr(queries, "_prepared", lambda *a: SimpleNamespace(train=None, valid=labels))
+    monkeypatch.setattr(models, "grid_search", search)
+    monkeypatch.setattr(study, "grid_search", search)
+    monkeypatch.setattr(study, "test_report", lambda ready, board, *a, **b: board)
+    monkeypatch.setattr(study, "count_variants", lambda ready: {"a": None, "b": None})
+    queries.als_test_report(spark, "")
+    queries.als_count_variants(spark, "")
+    assert asked == [models.grid()] * 3 and len(models.grid()) == 54
+
+
+def test_forest_query_searches_every_point_on_both_feature_sets(spark, monkeypatch):
+    asked = []
+
+    def compare(train, valid, test, estimators):
+        asked.append((train, list(estimators)))
+        return spark.createDataFrame([(0, "x", 0.0, 0.5, 0.5, 1.0), (1, "y", 0.0, 0.4, 0.6, 1.0)], coldstart.REPORT), {}
+
+    monkeypatch.setattr(queries, "_parts", lambda spark, root, full=False: SimpleNamespace(train=full, valid=None, test=None))
+    monkeypatch.setattr(coldstart, "compare_classifiers", compare)
+    got = {(r.feature_set, r["name"]) for r in queries.forest_grid_best(spark, "").collect()}
+    assert got == {("short", "y"), ("full", "y")}
+    assert asked == [(full, list(coldstart.forest_grid())) for full in (False, True)] and len(asked[0][1]) == 15

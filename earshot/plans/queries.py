@@ -357,7 +357,7 @@ def ivf_fitted_search(spark, root):
     vectors = tables.factors(spark, root)
     centres = ann.fit_cells(vectors, 16)
     indexed = stored(ann.assign_cells(vectors, centres), "cells")
-    return ann.cell_search(_asked(vectors), indexed, centres, NEIGHBOURS, PROBES)
+    return ann.measured_search(_asked(vectors), indexed, centres, NEIGHBOURS)
 
 
 def lsh_search(spark, root):

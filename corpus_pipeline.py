@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from earshot.llm import decontaminate, jaccard, langid, mixing, simhash, tokenids
+from earshot.llm import decontaminate, langid, mixing, simhash, tokenids
 from earshot.session import remove_path, scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -22,8 +22,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies (five-word Jaccard 0.8 or more), the one of the smallest id."""
-    return simhash.keep_one(docs.select(*COLUMNS), jaccard.near_copies)
+    """One document of each group of operator 5 (fingerprints of three-word shingles, three bits), the one of the smallest id."""
+    return simhash.keep_one(docs.select(*COLUMNS), shingle=simhash.SHINGLE, radius=simhash.RADIUS)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earshot.llm import caps, chat, decontaminate, langid, licenses, lmscore, mixing, simhash, tokenids, urlfilter
+from earshot.llm import caps, chat, decontaminate, langid, licenses, lmscore, mixing, negatives, simhash, tokenids, urlfilter
 from earshot.llm.words import count_words
 from earshot.session import scratch_path, stored
 
@@ -94,6 +94,12 @@ def op10_cap_dedup(spark: SparkSession, root: str) -> DataFrame:
     return caps.near_vectors(table(spark, root, "embeddings"))
 
 
+@query
+def op12_hard_negatives(spark: SparkSession, root: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.mine(table(spark, root, "embeddings"), F.col("vec_id") % 100 == 0, label=moved)
+
+
 ORACLES: dict[str, str] = {}
 
 # Windows of ten words, or of a whole shorter item, looked up by length.
@@ -148,3 +154,25 @@ SELECT conv_id, count(*) AS n_turns,
            + length(regexp_replace(role || text, '[^\\<#]', '', 'g')))::BIGINT AS formatted_chars
 FROM turns GROUP BY conv_id
 """
+
+ORACLES["op12_hard_negatives"] = """
+WITH vectors AS (
+  SELECT row_number() OVER () AS r, vec_id,
+         CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS l,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.r AS a, a.vec_id AS anchor_id, a.l AS al, x.r AS x, x.vec_id, x.l, list_inner_product(a.v, x.v)::BIGINT AS s
+  FROM vectors a, vectors x WHERE a.vec_id % 100 = 0 AND a.r <> x.r),
+positives AS (
+  SELECT a, x, vec_id AS positive_id, s AS positive_score
+  FROM scored WHERE l = al QUALIFY row_number() OVER (PARTITION BY a ORDER BY s DESC, vec_id NULLS LAST) <= 5)
+SELECT anchor_id, positive_id,
+       row_number() OVER (PARTITION BY a, p.x ORDER BY s DESC, vec_id NULLS LAST)::INTEGER AS rank,
+       vec_id AS negative_id, positive_score, s AS negative_score
+FROM positives p JOIN scored USING (a)
+WHERE l <> al AND 80 * positive_score <= 100 * s AND s <= positive_score
+QUALIFY rank <= 5
+"""

@@ -226,7 +226,7 @@ def test_queries_equal_their_sql(spark, data, name):
     import duckdb
 
     db = duckdb.connect()
-    for table in ("documents", "pages", "benchmark", "conversations"):
+    for table in ("documents", "pages", "benchmark", "conversations", "embeddings"):
         db.execute(f"create view {table} as select * from '{data}/{table}.parquet'")
     got = QUERIES[name](spark, data)
     want = db.execute(ORACLES[name]).to_arrow_table().select(got.columns).to_pylist()

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earshot.llm import caps, chat, decontaminate, langid, licenses, lmscore, mixing, negatives, simhash, tokenids, urlfilter
+from earshot.llm import caps, chat, decontaminate, langid, lexical, licenses, lmscore, mixing, negatives, simhash, tokenids, urlfilter
 from earshot.llm.words import count_words
 from earshot.session import scratch_path, stored
 
@@ -100,6 +100,12 @@ def op12_hard_negatives(spark: SparkSession, root: str) -> DataFrame:
     return negatives.mine(table(spark, root, "embeddings"), F.col("vec_id") % 100 == 0, label=moved)
 
 
+@query
+def op13_lexical_search(spark: SparkSession, root: str) -> DataFrame:
+    found = lexical.rank_documents(table(spark, root, "documents"), table(spark, root, "benchmark"))
+    return found.select("item_id", "rank", "doc_id", "score")
+
+
 ORACLES: dict[str, str] = {}
 
 # Windows of ten words, or of a whole shorter item, looked up by length.
@@ -176,3 +182,25 @@ FROM positives p JOIN scored USING (a)
 WHERE l <> al AND 80 * positive_score <= 100 * s AND s <= positive_score
 QUALIFY rank <= 5
 """
+
+ORACLES["op13_lexical_search"] = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+  FROM documents WHERE text IS NOT NULL),
+sizes AS (SELECT count(*)::BIGINT AS n_docs, sum(len(t))::BIGINT AS n_terms FROM docs WHERE len(t) > 0),
+items AS (
+  SELECT DISTINCT i, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS i, * FROM benchmark)),
+counted AS (
+  SELECT r, doc_id, n, term, count(*)::BIGINT AS tf
+  FROM (SELECT r, doc_id, len(t)::BIGINT AS n, unnest(t) AS term FROM docs) SEMI JOIN items USING (term) GROUP BY ALL),
+weights AS (
+  SELECT term, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w
+  FROM counted, sizes GROUP BY term, n_docs),
+scored AS (
+  SELECT i, item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * n_docs) // n_terms))))::BIGINT AS score
+  FROM counted JOIN weights USING (term) JOIN items USING (term), sizes GROUP BY i, item_id, r, doc_id)
+SELECT item_id, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= 50
+"""

@@ -43,7 +43,7 @@ from earshot.session import stored
 TOP_K = 50
 ITEM_BYTES = 2 << 20  # item text that is searched for at a time
 SAMPLE = 16  # one in so many documents is searched first, for the scores to start from
-SHARED = 64  # groups of the terms that several items share
+SHARED = 512  # groups of the terms that several items share
 SLACK = 1e-9  # relative; doubles err by less than 1e-15 for each of at most a few thousand terms
 
 COUNTED = "doc_id long, n long, terms array<int>, tf array<long>"
@@ -131,6 +131,7 @@ class BallTree:
         values = gain * scale[terms]
         ends = np.cumsum(lengths)
         starts = ends - lengths
+        unit = values / np.repeat(np.sqrt(np.add.reduceat(values * values, starts)) + 1e-300, lengths)
         order = np.arange(n)
         centroids, radii = [], []
         for level in range(self.depth + 1):
@@ -147,12 +148,11 @@ class BallTree:
             centroids.append(mean)
             if level == self.depth:
                 break
-            # Split by the line between two documents far apart.
-            far = self._farthest(np.add.reduceat(off, starts), order, node, nodes)
-            first = self._towards(far, lengths, starts, terms, values, at, n_terms)
-            norm = np.add.reduceat(values * values, starts)
-            other = self._farthest(norm - 2 * first, order, node, nodes)
-            side = first - self._towards(other, lengths, starts, terms, values, at, n_terms)
+            # Split by the line between two documents of very different directions.
+            far = self._farthest(-np.add.reduceat(unit * mean[at, terms], starts), node, nodes)
+            first = self._towards(far, lengths, starts, terms, unit, at, n_terms)
+            other = self._farthest(-first, node, nodes)
+            side = first - self._towards(other, lengths, starts, terms, unit, at, n_terms)
             order = np.lexsort((np.arange(n), side, node))
         self.centroids = np.ascontiguousarray(np.concatenate(centroids).T)  # terms x nodes
         self.radii = np.ascontiguousarray(np.concatenate(radii).T)  # groups x nodes
@@ -177,7 +177,7 @@ class BallTree:
         return np.sqrt(np.maximum(most, 0) + SLACK * SLACK * squares.max(initial=0) + 1e-12 * most.max(initial=0))
 
     @staticmethod
-    def _farthest(distance, order, node, nodes):
+    def _farthest(distance, node, nodes):
         """The document of the largest distance in every node."""
         by = np.lexsort((distance, node))
         return by[np.cumsum(np.bincount(node, minlength=nodes)) - 1]

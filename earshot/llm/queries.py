@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from earshot.llm import caps, chat, decontaminate, langid, lexical, licenses, lmscore, mixing, negatives, simhash, tokenids, urlfilter
+from earshot.llm import caps, chat, decontaminate, langid, lexical, licenses, lmscore, mixing, negatives, pii, simhash, tokenids, urlfilter
 from earshot.llm.words import count_words
 from earshot.session import scratch_path, stored
 
@@ -94,6 +94,18 @@ def op10_cap_dedup(spark: SparkSession, root: str) -> DataFrame:
     return caps.near_vectors(table(spark, root, "embeddings"))
 
 
+@query
+def op11_pii(spark: SparkSession, root: str) -> DataFrame:
+    docs = table(spark, root, "documents")
+    found = pii.find_pii(docs, pii.fit_model(docs))
+    base = F.filter("spans", lambda s: s["base"])
+    kinds = F.transform(base, lambda s: s["kind"])
+    counts = [(F.size(base) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select(
+        "doc_id", *counts, F.sha2(pii.span_text(base), 256).alias("base_sha256"), pii.span_text(F.col("spans")).alias("spans")
+    )
+
+
 @query
 def op12_hard_negatives(spark: SparkSession, root: str) -> DataFrame:
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))

@@ -276,7 +276,7 @@ def train(rows: list[tuple[int, bool, str, str, str]]) -> Model:
             x += [features(before, s, after, kind) for s, _ in forms]
             y += [right for _, right in forms]
             held += [third] * len(forms)
-        x, y, held = np.array(x, float).reshape(len(y), -1), np.array(y, bool), np.array(held, bool)
+        x, y, held = np.array(x, float), np.array(y, bool), np.array(held, bool)
         if not y[~held].any() or not y[held].any():
             parts.append((None, 1.0, 0.0, 2.0))  # nothing to learn from, or to calibrate by
             continue

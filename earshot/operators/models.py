@@ -1,4 +1,8 @@
-"""Implicit ALS: fitting, saving, loading, and the parameter grid."""
+"""Implicit ALS: fitting, saving, loading, and the parameter grid.
+
+A grid search commits every point as it finishes and looks up what is committed before it starts, so
+queries over the same data share their fits and a killed search goes on where it was.
+"""
 
 from __future__ import annotations
 
@@ -14,7 +18,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from earshot.operators.metrics import ranking_metrics
 from earshot.operators.recommend import LIST_LENGTH, recommend
-from earshot.session import scratch_root, stored
+from earshot.session import held, scratch_root
+from earshot.sources.gridstore import GridStore, fingerprint, row_mark
 
 # The parameter grid, the sample share, and the directory name of a saved model.
 RANKS = (5, 10, 20, 30, 50, 80)
@@ -23,7 +28,8 @@ ALPHAS = (0.1, 1.0, 5.0)
 TRAIN_SHARE = 0.02
 MODEL_NAME = "model_reg_{reg}_rank{rank}_a_{alpha}_{share}"
 
-AT_ONCE = 6  # grid points under way together; each is a chain of short jobs that leaves cores idle
+MOST_AT_ONCE = 16  # grid points under way together, as the cores allow; each is a chain of short jobs
+ROWS_PER_BLOCK = 100_000  # ratings worth a block of their own in a grid search
 
 
 @dataclass(frozen=True)
@@ -84,47 +90,92 @@ def train_grid(train: DataFrame, points: list[Params], root: str, share: float =
     """Fit and save a model for every grid point over one cached frame."""
     train = train.select("user_index", "item_index", "count").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        _together(train.sparkSession, lambda p: save_model(fit_als(train, p, **fit), model_path(root, p, share)), points)
+        fit["blocks"] = fit.get("blocks") or _blocks(train, train.count())
+        save = lambda p: save_model(fit_als(train, p, **fit), model_path(root, p, share))
+        _together(train.sparkSession, save, points, fit["blocks"])
     finally:
         train.unpersist()
 
 
 def evaluate_grid(labels: DataFrame, points: list[Params], root: str, share: float = 1.0, k: int = LIST_LENGTH) -> DataFrame:
     """Leaderboard of saved models on held-out labels."""
-    load = lambda params: load_als(model_path(root, params, share))
-    return _board(labels, points, load, k)
+    labels = labels.select("user_index", "item_index").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        rows = _together(labels.sparkSession, lambda p: _score(labels, p, lambda: load_als(model_path(root, p, share)), k), points, 1)
+    finally:
+        labels.unpersist()
+    return _board(labels.sparkSession, points, rows)
 
 
-def grid_search(train: DataFrame, labels: DataFrame, points: list[Params], k: int = LIST_LENGTH, **fit) -> DataFrame:
-    """Fit and score every point without saving; the same leaderboard."""
+def grid_search(
+    train: DataFrame, labels: DataFrame, points: list[Params], k: int = LIST_LENGTH, store: str | None = None, **fit
+) -> DataFrame:
+    """The same leaderboard, fitting without saving the models; points already committed are read.
+
+    ``store`` is the folder of committed points, by default the one the session names.
+    """
+    spark = train.sparkSession
     train = train.select("user_index", "item_index", "count").persist(StorageLevel.MEMORY_AND_DISK)
+    labels = labels.select("user_index", "item_index").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        return _board(labels, points, lambda params: fit_als(train, params, **fit), k)
+        n, mark = row_mark(train)
+        fit["blocks"] = fit.get("blocks") or _blocks(train, n)
+        kept = GridStore(spark, fingerprint(mark, row_mark(labels)[1], k=k, **fit), store)
+        done = kept.points()
+
+        def finish(params: Params) -> dict:
+            row = _score(labels, params, lambda: fit_als(train, params, **fit), k)
+            kept.commit(_point_name(params), row)
+            return row
+
+        missing = [p for p in points if _point_name(p) not in done]
+        done.update(zip(map(_point_name, missing), _together(spark, finish, missing, fit["blocks"])))
     finally:
         train.unpersist()
+        labels.unpersist()
+    return _board(spark, points, [done[_point_name(p)] for p in points])
 
 
-def _together(spark: SparkSession, work: Callable, points: list[Params]) -> list:
-    """``work`` of every point, several at once on the driver's threads; results in order."""
-    scratch_root(spark)  # set once, before threads need it
-    with ThreadPoolExecutor(AT_ONCE) as pool:
-        return list(pool.map(inheritable_thread_target(spark)(work), points))
+def _point_name(params: Params) -> str:
+    return f"rank{params.rank}_reg{params.reg}_a{params.alpha}"
 
 
-def _board(labels: DataFrame, points: list[Params], model_for, k: int) -> DataFrame:
-    labels = labels.select("user_index", "item_index").persist(StorageLevel.MEMORY_AND_DISK)
+def _blocks(train: DataFrame, rows: int) -> int:
+    return max(1, min(-(-rows // ROWS_PER_BLOCK), train.sparkSession.sparkContext.defaultParallelism))
 
-    def score(params: Params) -> tuple:
-        start = time.perf_counter()
-        model = model_for(params)
-        fitted = time.perf_counter()
-        lists = stored(recommend(model.userFactors, model.itemFactors, labels, k), "lists")
-        result = ranking_metrics(lists, labels).first()
-        done = time.perf_counter()
-        return params.rank, params.reg, params.alpha, result["map"], result["coverage"], fitted - start, done - fitted
 
+def _together(spark: SparkSession, work: Callable, points: list[Params], blocks: int) -> list:
+    """``work`` of every point, as many at once as their blocks leave cores; results in order.
+
+    A point that fails ends the search after those under way; what is finished stays committed.
+    """
+    scratch_root(spark)  # set once, before threads need it
+    at_once = max(2, min(MOST_AT_ONCE, spark.sparkContext.defaultParallelism // blocks))
+    pool = ThreadPoolExecutor(at_once)
     try:
-        rows = _together(labels.sparkSession, score, points)
+        return list(pool.map(inheritable_thread_target(spark)(work), points))
     finally:
-        labels.unpersist()
-    return labels.sparkSession.createDataFrame([(i, *row) for i, row in enumerate(rows)], BOARD)
+        pool.shutdown(cancel_futures=True)
+
+
+def _score(labels: DataFrame, params: Params, model_for: Callable[[], ALSModel], k: int) -> dict:
+    """One leaderboard row; the lists go as soon as they are scored."""
+    start = time.perf_counter()
+    model = model_for()
+    fitted = time.perf_counter()
+    with held(recommend(model.userFactors, model.itemFactors, labels, k), "lists") as lists:
+        result = ranking_metrics(lists, labels).first()
+    return {
+        "map": result["map"],
+        "coverage": result["coverage"],
+        "fit_seconds": fitted - start,
+        "score_seconds": time.perf_counter() - fitted,
+    }
+
+
+def _board(spark: SparkSession, points: list[Params], rows: list[dict]) -> DataFrame:
+    values = [
+        (i, p.rank, p.reg, p.alpha, r["map"], r["coverage"], r["fit_seconds"], r["score_seconds"])
+        for i, (p, r) in enumerate(zip(points, rows))
+    ]
+    return spark.createDataFrame(values, BOARD)

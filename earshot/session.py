@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -73,3 +75,14 @@ def stored(df: DataFrame, name: str, partition_by: str | None = None) -> DataFra
     if partition_by:
         columns.append(df.schema[partition_by])
     return spark.read.schema(type(df.schema)(columns)).parquet(path)
+
+
+@contextmanager
+def held(df: DataFrame, name: str) -> Iterator[DataFrame]:
+    """``df`` as a scratch table that goes when the block ends, for results that nobody reads later."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    try:
+        yield df.sparkSession.read.schema(df.schema).parquet(path)
+    finally:
+        remove_path(df.sparkSession, path)

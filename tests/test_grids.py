@@ -1,4 +1,4 @@
-"""The registered searches run over the whole grids."""
+"""The registered searches run over the whole grids, and share their fits."""
 
 from types import SimpleNamespace
 
@@ -20,6 +20,21 @@ def test_als_queries_search_every_point(spark, monkeypatch):
     assert asked == [models.grid()] * 3 and len(models.grid()) == 54
 
 
+def test_als_queries_share_their_fits(spark, data, monkeypatch):
+    """On a grid of two points: the report and the unmodified variant read what the grid has fitted."""
+    points = models.grid((2, 3), (0.1,), (1.0,))
+    monkeypatch.setattr(models, "grid", lambda: points)
+    fit, fitted = models.fit_als, []
+    monkeypatch.setattr(models, "fit_als", lambda train, params, **s: fitted.append(params) or fit(train, params, **s))
+    board = queries.als_grid(spark, data).collect()
+    assert len(board) == 2 and sorted(fitted, key=str) == points
+    assert queries.als_test_report(spark, data).count() == 1 and len(fitted) == 2
+    variants = queries.als_count_variants(spark, data)
+    assert variants.count() == 6 and len(fitted) == 6
+    same = [r["map"] for r in variants.where("variant = 'index'").orderBy("position").collect()]
+    assert same == [r["map"] for r in board]
+
+
 def test_forest_query_searches_every_point_on_both_feature_sets(spark, monkeypatch):
     asked = []
 

@@ -92,6 +92,27 @@ def ranking_metrics(
     return result.withColumn("map_all_users", F.col("map") * F.col("coverage"))
 
 
+def mean_average_precision(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """(map, users, coverage), as ``ranking_metrics`` gives them, in one pass over ``lists``.
+
+    The lists are matched with the labels on the pair and reduced to the positions of the hits, at
+    most one list's length per user, so they need not be stored to be scored.
+    """
+    wanted = labels.select("user_index", "item_index").distinct()
+    sizes = wanted.groupBy("user_index").agg(F.count("item_index").alias("n_labels"))
+    hit = F.when(F.col("hit"), F.col("position"))
+    matched = lists.select("user_index", "item_index", "position").join(
+        wanted.withColumn("hit", F.lit(True)), ["user_index", "item_index"], "left"
+    )
+    positions = matched.groupBy("user_index").agg(F.array_sort(F.collect_list(hit)).alias("at")).join(sizes, "user_index")
+    precision = F.aggregate(F.transform("at", lambda p, i: (i + 1) / p), F.lit(0.0), lambda total, x: total + x)
+    ap = F.when(F.col("n_labels") > 0, precision / F.col("n_labels")).otherwise(0.0)
+    users = F.count(F.lit(1))
+    return positions.agg(F.avg(ap).alias("map"), users.alias("users")).withColumn(
+        "coverage", F.col("users") / labels.select(F.count_distinct("user_index")).scalar()
+    )
+
+
 def error_rate(predictions: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
     """(errors, n, error_rate) of a classification."""
     wrong = F.col(label).cast("double") != F.col(prediction).cast("double")

@@ -82,3 +82,17 @@ def test_a_common_list_scores_like_the_same_list_for_every_user(spark):
         plan = metrics.per_user_metrics(lists[0], labels, (1, 2), by)._jdf.queryExecution().toString()
         assert "CartesianProduct" not in plan
     assert metrics.per_user_metrics(common.limit(0), labels, by=("model",)).count() == 0
+
+
+def test_one_pass_map_equals_the_metrics(spark):
+    rows = [(u, (u * 5 + p * p) % 17, p) for u in range(9) for p in range(1, 8)]
+    lists = spark.createDataFrame(rows, "user_index int, item_index int, position int")
+    labels = spark.createDataFrame(
+        [(u, (u + 3 * i) % 17) for u in range(4, 14) for i in range(5)] * 2 + [(8, None), (20, None)], "user_index int, item_index int"
+    )
+    want = metrics.ranking_metrics(lists, labels).first()
+    got = metrics.mean_average_precision(lists, labels).first()
+    assert got["users"] == want["users"] and got["coverage"] == want["coverage"]
+    assert abs(got["map"] - want["map"]) < 1e-12 and want["map"] > 0
+    nothing = metrics.mean_average_precision(lists.limit(0), labels).first()
+    assert nothing["map"] is None and nothing["users"] == 0

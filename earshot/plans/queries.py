@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from earshot.functions.counts import drop_low, log_compress, modify
 from earshot.functions.hashing import drawn
-from earshot.operators import ann, coldstart, features, histories, metrics, models, recommend, splits
+from earshot.operators import ann, coldstart, features, forest, histories, metrics, models, recommend, splits
 from earshot.operators.indexing import apply_index, fit_index
 from earshot.plans import study
 from earshot.plans.coldstart import Content, cold_start_trial, compare_factors, predicted_factors, raw_features, training_parts
@@ -360,6 +360,27 @@ def ivf_fitted_search(spark, root):
     return ann.measured_search(_asked(vectors), indexed, centres, NEIGHBOURS)
 
 
+def _forest_search(spark, root):
+    vectors = tables.factors(spark, root)
+    trees = forest.fit_forest(vectors)
+    indexed = stored(forest.index_forest(trees, vectors), "forest")
+    return vectors, forest.forest_search(trees, _asked(vectors), indexed, NEIGHBOURS)
+
+
+def forest_search(spark, root):
+    """Neighbours through the random-projection forest, with the share of all vectors compared."""
+    vectors, found = _forest_search(spark, root)
+    share = F.col("scored") / vectors.select(F.count(F.lit(1))).scalar()
+    return found.select("query_id", "id", "score", "rank", share.alias("scored_share"))
+
+
+def forest_recall(spark, root):
+    """Recall and share of vectors compared of the forest search, over all queries."""
+    vectors, found = _forest_search(spark, root)
+    exact = ann.exact_neighbours(_asked(vectors), vectors, NEIGHBOURS)
+    return forest.search_report(stored(found, "found"), exact, vectors.count())
+
+
 def lsh_search(spark, root):
     vectors = tables.factors(spark, root).select("id", "features")
     model = ann.fit_buckets(vectors, bucket_length=0.5, tables=8)
@@ -580,6 +601,8 @@ QUERIES = {
         ivf_assign,
         ivf_search,
         ivf_fitted_search,
+        forest_search,
+        forest_recall,
         lsh_search,
         recall_per_query,
         recall_sweep,

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from earshot.functions.counts import drop_low, log_compress, modify
 from earshot.functions.hashing import drawn
-from earshot.operators import ann, coldstart, features, forest, histories, metrics, models, recommend, splits
+from earshot.operators import ann, coldstart, features, forest, graph, histories, metrics, models, recommend, splits
 from earshot.operators.indexing import apply_index, fit_index
 from earshot.plans import study
 from earshot.plans.coldstart import Content, cold_start_trial, compare_factors, predicted_factors, raw_features, training_parts
@@ -381,6 +381,25 @@ def forest_recall(spark, root):
     return forest.search_report(stored(found, "found"), exact, vectors.count())
 
 
+def _graph_search(spark, root):
+    vectors = tables.factors(spark, root)
+    return vectors, graph.graph_search(_asked(vectors), graph.build_graph(vectors), NEIGHBOURS)
+
+
+def graph_search(spark, root):
+    """Neighbours through the neighbour graph, with the share of all vectors met."""
+    vectors, found = _graph_search(spark, root)
+    share = F.col("scored") / vectors.select(F.count(F.lit(1))).scalar()
+    return found.select("query_id", "id", "score", "rank", share.alias("scored_share"))
+
+
+def graph_recall(spark, root):
+    """Recall and share of vectors met of the graph search, over all queries."""
+    vectors, found = _graph_search(spark, root)
+    exact = ann.exact_neighbours(_asked(vectors), vectors, NEIGHBOURS)
+    return forest.search_report(stored(found, "found"), exact, vectors.count())
+
+
 def lsh_search(spark, root):
     vectors = tables.factors(spark, root).select("id", "features")
     model = ann.fit_buckets(vectors, bucket_length=0.5, tables=8)
@@ -603,6 +622,8 @@ QUERIES = {
         ivf_fitted_search,
         forest_search,
         forest_recall,
+        graph_search,
+        graph_recall,
         lsh_search,
         recall_per_query,
         recall_sweep,

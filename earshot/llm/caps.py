@@ -10,7 +10,7 @@ that a filter holds a bounded number of them and a vector is in about ``FILTERS`
 
 Vectors meet by the first half of their filters, once per first half; the rest of the list is
 decoded again where they meet. A pair is verified in double precision and counted in the smallest
-filter it shares, so every link counts once. First halves with many vectors are cut into blocks,
+first half it shares, so every verified link counts once. First halves with many vectors are cut into blocks,
 and each pair of blocks is a task. Equal vectors are one class and never compared with each other.
 Tasks give link counts and a spanning forest, never pairs.
 
@@ -189,17 +189,19 @@ def _compare(held: list[pa.RecordBatch], key: tuple | None, sizes: dict[int, int
     unit = _unit(table["e"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim))
     k = sizes[dim]
     row, filters = codes(dim, k).decode(unit)
-    keys = row * k * k + filters  # ascending, as rows and their filters are
-    width = np.bincount(row, minlength=len(unit))
+    keys = np.unique(row * k + filters // k)  # every vector's first halves, ascending
+    halves = keys % k
+    width = np.bincount(keys // k, minlength=len(unit))
     begin = np.cumsum(width) - width
 
     def smallest_shared(i: np.ndarray, j: np.ndarray) -> np.ndarray:
-        """The smallest filter of each pair, -1 if none; most pairs share the first one tried."""
-        found, open_, rank = np.full(len(i), -1), np.arange(len(i)), 0
+        """The smallest first half of each pair; all pairs here share this one."""
+        found, open_, rank = np.full(len(i), half), np.arange(len(i)), 0
         while len(open_):
             open_ = open_[width[i[open_]] > rank]
-            tried = filters[begin[i[open_]] + rank]
-            wanted = j[open_] * k * k + tried
+            tried = halves[begin[i[open_]] + rank]
+            open_, tried = open_[tried < half], tried[tried < half]
+            wanted = j[open_] * k + tried
             hit = keys[np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)] == wanted
             found[open_[hit]] = tried[hit]
             open_, rank = open_[~hit], rank + 1
@@ -216,7 +218,7 @@ def _compare(held: list[pa.RecordBatch], key: tuple | None, sizes: dict[int, int
                 i, j = i[i < j], j[i < j]
             if len(i):
                 unions.add(i, j)
-            mine = smallest_shared(i, j) // k == half
+            mine = smallest_shared(i, j) == half
             links += np.bincount(i[mine], n[j[mine]], len(unit)) + np.bincount(j[mine], n[i[mine]], len(unit))
     joined = unions.roots != np.arange(len(unit))
     out = np.flatnonzero((links > 0) | joined)

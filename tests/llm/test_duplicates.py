@@ -141,3 +141,19 @@ def test_benchmark_blocks_give_the_same(spark, monkeypatch):
     assert len(decontaminate.item_blocks(benchmark)) > 5
     assert sorted(decontaminate.find_contamination(docs, benchmark).select("doc_id", "n_hit", "items").collect()) == whole
     assert docs.where(F.col("text").isNull()).count() == 0
+
+
+def test_every_verified_link_is_counted(spark):
+    """Planted pairs just above the limit: whoever is in a component of several has a link."""
+    draw = np.random.default_rng(8)
+    x = draw.normal(size=(1500, 64))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    off = draw.normal(size=x.shape)
+    off -= (off * x).sum(1, keepdims=True) * x
+    off /= np.linalg.norm(off, axis=1, keepdims=True)
+    both = np.concatenate([x, 0.955 * x + np.sqrt(1 - 0.955**2) * off])
+    rows = [(i, [float(v) for v in row]) for i, row in enumerate(both)]
+    got = caps.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    linked = [r for r in got if r.component_id != r.vec_id]
+    assert all(r.n_links > 0 for r in linked) and len(linked) > 0.9 * 1500
+    assert sum(r.n_links for r in got) == 2 * len(linked)

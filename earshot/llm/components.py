@@ -2,29 +2,38 @@
 
 Each round replaces the edges of every node by edges to the smallest neighbour, first for larger
 neighbours, then for smaller ones, until every node points at the smallest node of its component.
-Neighbours are never gathered: a round is an aggregated minimum and a join, and a node that holds
-a third of all edges is a skewed join, which Spark splits. Rounds are cut by stored tables, of
-which only the last two exist.
+Neighbours are never gathered: a round is an aggregated minimum, combined before its shuffle, and a
+lookup of these minima that leaves the edges where they are while the minima fit a broadcast by
+counted size, and spreads the edges of hot nodes over many tasks beyond that. Rounds are cut by
+stored tables, of which only the last two exist.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from earshot.session import remove_path, scratch_path
+from earshot.operators.skew import lookup_join
+from earshot.session import held, remove_path, scratch_path
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+@contextmanager
+def _large_star(edges: DataFrame) -> Iterator[DataFrame]:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
     least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    with held(least, "least") as least:
+        yield lookup_join(both.where("v > u"), least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+@contextmanager
+def _small_star(edges: DataFrame) -> Iterator[DataFrame]:
     least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    lower = edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return lower.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
+    with held(least, "least") as least:
+        lower = lookup_join(edges, least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        yield lower.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
 
 
 def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -46,7 +55,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     mark = lambda df: tuple(df.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("u", "v"))).first())
     before = mark(found)
     while before[0]:
-        new, new_path = keep(_small_star(_large_star(found)))
+        with _large_star(found) as large, held(large, "large") as large, _small_star(large) as small:
+            new, new_path = keep(small)
         remove_path(spark, path)
         found, path, after = new, new_path, mark(new)
         if after == before:

@@ -38,7 +38,7 @@ CUT = re.compile(r"(?<=\S) (?=\S)")
 class PieceEncoder:
     """Ids of whole texts, with the ids of short pieces kept."""
 
-    def __init__(self, path: str, max_kept: int = 600_000, max_piece: int = 64):
+    def __init__(self, path: str, max_kept: int = 300_000, max_piece: int = 64):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -150,6 +150,7 @@ def tokenize(docs: DataFrame, tokenizer: str, end: int = END, chunk: int = CHUNK
                     ],
                     ["doc_id", "part", "start", "n_tokens", "chunk", "ids"],
                 )
+            pa.default_memory_pool().release_unused()  # a worker's memory counts with its executor's
 
     return ordered.mapInArrow(encode, TOKENS)
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from earshot.functions.counts import drop_low, log_compress, modify
 from earshot.functions.hashing import drawn
-from earshot.operators import ann, coldstart, features, forest, graph, histories, metrics, models, recommend, splits
+from earshot.operators import ann, coldstart, features, forest, graph, histories, metrics, models, quantiser, recommend, splits
 from earshot.operators.indexing import apply_index, fit_index
 from earshot.plans import study
 from earshot.plans.coldstart import Content, cold_start_trial, compare_factors, predicted_factors, raw_features, training_parts
@@ -25,6 +25,7 @@ K = recommend.LIST_LENGTH
 CUTOFFS = (10, 100, 500)
 NEIGHBOURS = 10
 PROBES = 3
+MULTIPLIER = 5
 FIT = {"iterations": 10}
 
 
@@ -400,6 +401,34 @@ def graph_recall(spark, root):
     return forest.search_report(stored(found, "found"), exact, vectors.count())
 
 
+def _code_search(spark, root):
+    vectors = tables.factors(spark, root)
+    books = quantiser.fit_quantiser(vectors)
+    coded = stored(quantiser.index_codes(books, vectors), "codes")
+    probes = quantiser.measured_probes(books, _asked(vectors), vectors, coded, NEIGHBOURS)
+    return vectors, quantiser.code_search(books, _asked(vectors), coded, vectors, NEIGHBOURS, MULTIPLIER, probes)
+
+
+def code_search(spark, root):
+    """Neighbours among k * m candidates found by byte codes, with the shares of all codes read and vectors compared."""
+    vectors, found = _code_search(spark, root)
+    n = vectors.select(F.count(F.lit(1))).scalar()
+    return found.select(
+        "query_id", "id", "score", "rank", (F.col("scanned") / n).alias("scanned_share"), (F.col("compared") / n).alias("compared_share")
+    )
+
+
+def code_recall(spark, root):
+    """Recall at k * m of the search by codes, the largest share of codes read and number of vectors compared, over all queries."""
+    vectors, found = _code_search(spark, root)
+    found = stored(found, "found")
+    exact = ann.exact_neighbours(_asked(vectors), vectors, NEIGHBOURS)
+    n = vectors.select(F.count(F.lit(1))).scalar()
+    cost = found.agg((F.max("scanned") / n).alias("scanned_share"), F.max("compared").alias("compared"))
+    recall = ann.recall_per_query(found, exact).agg(F.count(F.lit(1)).alias("queries"), F.avg("recall").alias("recall"))
+    return recall.withColumns({c: cost.select(c).scalar() for c in cost.columns})
+
+
 def lsh_search(spark, root):
     vectors = tables.factors(spark, root).select("id", "features")
     model = ann.fit_buckets(vectors, bucket_length=0.5, tables=8)
@@ -624,6 +653,8 @@ QUERIES = {
         forest_recall,
         graph_search,
         graph_recall,
+        code_search,
+        code_recall,
         lsh_search,
         recall_per_query,
         recall_sweep,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from earshot.operators.topk import top_k
+from earshot.operators.topk import top_k, top_k_unseen
 
 LIST_LENGTH = 500
 
@@ -20,23 +20,15 @@ def recommend(
     """(user_index, item_index, rating, position) by factor dot product.
 
     Factors are (id, features). ``users`` limits whom to serve; a user without factors gets no
-    list. Items already in ``seen`` (user_index, item_index) are left out when it is given: a user
-    with n seen items asks for k + n, which leaves at least the k best unseen ones.
+    list. Items already in ``seen`` (user_index, item_index) are left out when it is given; they
+    are masked where a block is scored, so a heavy user costs no more than any other.
     """
     asking = user_factors.withColumnRenamed("id", "user_index")
     if users is not None:
         asking = asking.join(users.select("user_index").distinct(), "user_index", "left_semi")
     if seen is None:
         return _lists(top_k(asking, item_factors, k, "dot", query_id="user_index"))
-    pairs = seen.select("user_index", "item_index").distinct()
-    sizes = pairs.groupBy("user_index").agg(F.count(F.lit(1)).alias("n_seen"))
-    wanted = asking.join(sizes, "user_index", "left").withColumn(
-        "k", (F.coalesce("n_seen", F.lit(0)) + k).cast("int")
-    )
-    listed = _lists(top_k(wanted, item_factors, "k", "dot", query_id="user_index"))
-    unseen = listed.join(pairs, ["user_index", "item_index"], "left_anti")
-    order = Window.partitionBy("user_index").orderBy("position")
-    return unseen.withColumn("position", F.row_number().over(order)).where(F.col("position") <= k)
+    return _lists(top_k_unseen(asking, item_factors, seen.withColumnRenamed("item_index", "id"), k, "dot", query_id="user_index"))
 
 
 def _lists(found: DataFrame) -> DataFrame:

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from earshot.functions.hashing import spread
+from earshot.operators.indexing import number_rows
 from earshot.operators.skew import lookup_join
 
 # Task code below is shipped with the plan, so executors need no installed copy of this package.
@@ -41,6 +42,8 @@ ITEM_BLOCK = 65_536
 SCORE_CELLS = 4 << 20  # scores in memory at a time
 PAIRS_PER_TASK = 10_000_000
 MIN_ROWS_PER_TASK = 1000  # below this, loading the broadcast side costs more than scoring
+MASK_BITS = 32_768  # items of a block whose seen ones are a bitmap, as Spark's bitmap functions cut them
+MASKED_QUERIES = 1_024  # queries of a block that carry bitmaps: at most 4 MB of them
 
 
 def top_k(
@@ -90,6 +93,54 @@ def top_k(
     )
 
 
+def top_k_unseen(
+    queries: DataFrame,
+    items: DataFrame,
+    seen: DataFrame,
+    k: int,
+    metric: str,
+    query_id: str = "query_id",
+    item_id: str = "id",
+    vector: str = "features",
+) -> DataFrame:
+    """(query_id, item_id, score, rank) as ``top_k``, without the pairs of ``seen`` (query_id, item_id).
+
+    Items are cut into blocks by their number, and a query goes to each block with a bitmap of what
+    it has seen there. The task masks these before it chooses, so it returns at most k rows a query
+    however much the query has seen. Ids are unique on either side; pairs that name an unknown query
+    or item, and repeated pairs, change nothing.
+    """
+    if metric not in ("dot", "l2"):
+        raise ValueError(f"unknown metric {metric!r}")
+    vec = _vec(vector)
+    q = queries.select(F.col(query_id).cast("bigint").alias("q"), F.lit(k).alias("k"), vec)
+    x = items.select(F.col(item_id).cast("bigint").alias("x"), vec)
+    pairs = seen.select(F.col(query_id).cast("bigint").alias("q"), F.col(item_id).cast("bigint").alias("x"))
+    n_x, least, last = x.agg(F.count(F.lit(1)), F.min("x"), F.max("x")).first()
+    if n_x and (least < 0 or last >= 4 * n_x):  # sparse ids would make more blocks than items need
+        numbers = number_rows(x.select("x").orderBy("x"), "number", "numbers").select("x", F.col("number").cast("bigint").alias("number"))
+        x, pairs, last = x.join(numbers, "x"), lookup_join(pairs, numbers, "x"), n_x - 1
+    else:
+        x, pairs = x.withColumn("number", F.col("x")), pairs.where(F.col("x") >= 0).withColumn("number", F.col("x"))
+    n_blocks = (last or 0) // MASK_BITS + 1
+    q_blocks = -(-q.count() // MASKED_QUERIES) or 1
+    at = F.col("number") + 1  # the bitmap functions count from one
+    pairs = pairs.where(F.col("number") < n_blocks * MASK_BITS)
+    masks = pairs.groupBy("q", (F.bitmap_bucket_number(at) - 1).cast("int").alias("xb")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("mask"))
+    q = q.withColumn("xb", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1)))).join(masks, ["q", "xb"], "left")
+    q = q.withColumn("qb", spread(q_blocks, "q"))
+    x = x.select("x", F.bitmap_bit_position(at).cast("int").alias("bit"), "vec", (F.bitmap_bucket_number(at) - 1).cast("int").alias("xb"))
+    x = x.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1))))
+
+    def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        return pa.concat_tables([_table(None), *map(_table, _search_unseen(left, right, metric))])
+
+    found = q.groupBy("qb", "xb").cogroup(x.groupBy("qb", "xb")).applyInArrow(score, FOUND)
+    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("q").orderBy("cost", "x"))).where(F.col("rank") <= k)
+    cost = -F.col("cost") if metric == "dot" else F.col("cost")
+    return ranked.select(F.col("q").alias(query_id), F.col("x").alias(item_id), cost.alias("score"), "rank")
+
+
 def nearest(rows: DataFrame, centres: DataFrame, cell: str = "cell", vector: str = "features") -> DataFrame | None:
     """``rows`` with the ``cell`` of the nearest centre, lowest cell on ties; None if there are too many centres.
 
@@ -255,7 +306,27 @@ def _search(queries: dict, items: dict, metric: str):
             yield _score_block(q_ids[part], q_k[part], q_mat[part], x_ids, by_dim, squares, metric)
 
 
-def _score_block(q_ids, q_k, q_mat, x_ids, x_by_dim, x_sq, metric):
+def _search_unseen(left: pa.Table, right: pa.Table, metric: str):
+    """As ``_search`` for one block of queries and one of items, without the items in a query's bitmap."""
+    if not left.num_rows or not right.num_rows:
+        return
+    left, right = left.combine_chunks(), right.combine_chunks()
+    bits = right.column("bit").to_numpy()
+    empty = bytes(MASK_BITS // 8)
+    masks = [m or empty for m in left.column("mask").to_pylist()]
+    q_ids, q_k, q_mat = left.column("q").to_numpy(), left.column("k").to_numpy(), _matrix(left.column("vec").combine_chunks())
+    x_ids, x_mat = right.column("x").to_numpy(), _matrix(right.column("vec").combine_chunks())
+    squares = np.einsum("ij,ij->i", x_mat, x_mat)
+    by_dim = np.ascontiguousarray(x_mat.T)
+    step = max(1, SCORE_CELLS // max(len(x_ids), MASK_BITS))
+    for start in range(0, len(q_ids), step):
+        part = slice(start, start + step)
+        packed = np.frombuffer(b"".join(masks[part]), np.uint8).reshape(-1, MASK_BITS // 8)
+        masked = np.unpackbits(packed, axis=1, bitorder="little")[:, bits].astype(bool)
+        yield _score_block(q_ids[part], q_k[part], q_mat[part], x_ids, by_dim, squares, metric, masked)
+
+
+def _score_block(q_ids, q_k, q_mat, x_ids, x_by_dim, x_sq, metric, masked=None):
     rough = q_mat @ x_by_dim
     q_sq = np.einsum("ij,ij->i", q_mat, q_mat)
     if metric == "dot":
@@ -265,6 +336,8 @@ def _score_block(q_ids, q_k, q_mat, x_ids, x_by_dim, x_sq, metric):
         rough *= -2
         rough += x_sq
         slack = q_sq + x_sq.max()
+    if masked is not None:
+        rough[masked] = np.inf
     k = np.minimum(q_k, len(x_ids))
     if k.min() == k.max():
         kth = np.partition(rough, k[0] - 1, axis=1)[:, k[0] - 1]
@@ -272,6 +345,8 @@ def _score_block(q_ids, q_k, q_mat, x_ids, x_by_dim, x_sq, metric):
         kth = np.take_along_axis(np.sort(rough, axis=1), k[:, None] - 1, axis=1)[:, 0]
     # The matrix product rounds differently from block to block; keep whatever it cannot tell apart.
     near = rough <= (kth + 1e-10 * slack)[:, None]
+    if masked is not None:
+        near &= ~masked
     q_at, x_at = np.divmod(np.flatnonzero(near), len(x_ids))
     cost = np.zeros(len(q_at))
     for q_dim, x_dim in zip(np.ascontiguousarray(q_mat.T), x_by_dim):

@@ -129,3 +129,39 @@ def test_block_scoring_with_ties(data):
     metric = data.draw(st.sampled_from(["dot", "l2"]))
     found = next(topk._search({"": (np.arange(len(q)), ks, q)}, {"": (np.arange(len(x)), None, x)}, metric))
     assert list(zip(found[0].tolist(), found[2].tolist(), found[4].tolist())) == brute(q, x, ks, metric)
+
+
+@pytest.mark.parametrize("metric", ["dot", "l2"])
+@pytest.mark.parametrize("scale", [1, 10**12])  # dense ids, and ids that are numbered first
+def test_seen_pairs_are_masked_in_the_task(spark, vectors, monkeypatch, metric, scale):
+    """A query that has seen nine of ten items, one that has seen all, one nothing: the k best of the rest."""
+    monkeypatch.setattr(topk, "MASKED_QUERIES", 8)
+    q, x = vectors
+    seen = {(0, j) for j in range(90) if j % 10} | {(1, j) for j in range(90)} | {(i, (i * j) % 90) for i in range(3, 40) for j in range(20)}
+    items = frame(spark, "id", x).withColumn("id", F.col("id") * scale)
+    rows = [(i, j * scale) for i, j in sorted(seen)] * 2 + [(99, 0), (3, 91 * scale + 7), (3, -5)]
+    pairs = spark.createDataFrame(rows, "query_id bigint, id bigint")
+    for k in (1, 7, 200):
+        found = topk.top_k_unseen(frame(spark, "query_id", q), items, pairs, k, metric)
+        want = brute(q, x, [k] * len(q), metric, lambda i, j: (i, j) not in seen)
+        assert got(found) == [(i, j * scale, r) for i, j, r in want]
+
+
+def test_a_block_returns_k_rows_for_a_query_that_has_seen_most(spark, vectors):
+    q, x = vectors
+    heavy = spark.createDataFrame([(0, j) for j in range(81)], "query_id bigint, id bigint")
+    few = topk.pa.table({"q": [0], "k": topk.pa.array([3], topk.pa.int32()), "vec": [q[0].tolist()], "mask": [np.packbits(np.arange(topk.MASK_BITS) < 81, bitorder="little").tobytes()]})
+    block = topk.pa.table({"x": range(90), "bit": range(90), "vec": [v.tolist() for v in x]})
+    (part,) = topk._search_unseen(few, block, "dot")
+    assert len(part[0]) == 3 and min(part[2]) >= 81
+    found = topk.top_k_unseen(frame(spark, "query_id", q[:1]), frame(spark, "id", x), heavy, 3, "dot")
+    assert [r[1] for r in got(found)] == part[2].tolist()
+
+
+def test_unseen_without_items_queries_or_pairs(spark, vectors):
+    q, x = vectors
+    queries, items = frame(spark, "query_id", q), frame(spark, "id", x)
+    none = spark.createDataFrame([], "query_id bigint, id bigint")
+    assert got(topk.top_k_unseen(queries, items, none, 4, "l2")) == got(top_k(queries, items, 4, "l2"))
+    assert topk.top_k_unseen(queries, items.limit(0), none, 4, "l2").count() == 0
+    assert topk.top_k_unseen(queries.limit(0), items, none, 4, "l2").count() == 0

@@ -52,3 +52,52 @@ def test_sentences_are_not_joined_over_blank_lines_or_unknown_text():
     assert sentence_ids("not released under the\nMIT License.") == [None, None]
     assert match_rules(sentence_ids(BSD[0] + "\n\nOther text here.\n\n" + BSD[1])) == ([], ["bsd_grant", "bsd_source"])
     assert sentence_ids("Licensed under the GNU General Public License version\n3. More.") == ["gpl3", None]
+
+
+@pytest.mark.parametrize("owner", ["Example Inc.", "the University of Somewhere, Dept. of Computing", "Foo & Bar GmbH"])
+@pytest.mark.parametrize("width", [40, 80, 1000])
+def test_a_named_owner_does_not_weaken_the_licence(owner, width):
+    paragraphs = (*BSD[:3], BSD[3].replace("the copyright holder", owner))
+    text = "\n".join("\n".join(textwrap.wrap(p, width)) for p in paragraphs) + "\n\nTHIS SOFTWARE IS PROVIDED AS IS."
+    assert match_rules(sentence_ids(text)) == (["BSD-3-Clause"], [])
+
+
+def test_an_unknown_clause_leaves_a_notice_unnamed():
+    ids = sentence_ids("\n".join(BSD[:3]) + "\n3. All advertising materials must display a notice.\n")
+    assert match_rules(ids) == ([], ["bsd_grant", "bsd_source", "bsd_binary"])
+    disclaimed = sentence_ids("\n".join(BSD[:3]) + "\n\nThis software is provided as is.")
+    assert match_rules(disclaimed) == (["BSD-2-Clause"], [])
+
+
+def test_spdx_expressions():
+    cases = {
+        "GPL-2.0": ["GPL-2.0-only"],
+        "GPL-2.0+": ["GPL-2.0-or-later"],
+        "BSD-3-Clause": ["BSD-3-Clause"],
+        "GPL-3.0-or-later": ["GPL-3.0-or-later"],
+        "MIT OR Apache-2.0": ["MIT", "Apache-2.0"],
+        "(MIT AND BSD-2-Clause) OR GPL-2.0-only WITH Classpath-exception-2.0": ["MIT", "BSD-2-Clause", "GPL-2.0-only"],
+    }
+    for expression, names in cases.items():
+        for line in (f"SPDX-License-Identifier: {expression}", f"<!-- SPDX-License-Identifier: {expression} -->", f"/* SPDX-License-Identifier: {expression} */\r"):
+            assert match_rules(sentence_ids(f"{line}\nint main;")) == (names, []), line
+    assert match_rules(sentence_ids("SPDX-License-Identifier: LicenseRef-own OR MIT")) == (["MIT"], ["spdx:licenseref-own"])
+    for broken in ("MIT OR", "(MIT", "MIT Apache-2.0", "OR MIT", ")"):
+        assert match_rules(sentence_ids(f"SPDX-License-Identifier: {broken}"))[0] == [], broken
+
+
+def test_further_families():
+    gnu = "you can redistribute it and/or modify it under the terms of the GNU {} as published by the Free Software Foundation"
+    later = "either version {} of the License, or (at your option) any later version."
+    cases = {
+        f"This library is free software; {gnu.format('Lesser General Public License')}; {later.format('2.1')}": "LGPL-2.1-or-later",
+        f"This library is free software: {gnu.format('Lesser General Public License')}, {later.format('3')}": "LGPL-3.0-or-later",
+        f"This program is free software: {gnu.format('Affero General Public License')}, {later.format('3')}": "AGPL-3.0-or-later",
+        f"This program is free software; {gnu.format('General Public License version 2')}.": "GPL-2.0-only",
+        "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not": "MPL-2.0",
+        "Released under the Apache License 2.0.": "Apache-2.0",
+        "This software is distributed under the terms of the MIT license.": "MIT",
+    }
+    for text, name in cases.items():
+        for width in (30, 70, 1000):
+            assert match_rules(sentence_ids("\n".join(textwrap.wrap(text, width)))) == ([name], []), text

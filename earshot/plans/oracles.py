@@ -310,6 +310,13 @@ ORACLES = {
         "SELECT query_id, id, round(score, 6) AS score, rank FROM found",
         found=_neighbours("qcell", "invec", 10, "q.cell = x.cell AND q.probe <= 3"),
     ),
+    "profile_neighbours": _sql(
+        ["inter"],
+        f"SELECT query_id, id, round(score) AS score, rank FROM ({_neighbours('profiles', 'profiles', 10)})",
+        profiles="""
+            SELECT user_id AS id, [count(*), sum(count), max(count), min(count)]::DOUBLE[] AS features
+            FROM inter GROUP BY user_id""",
+    ),
     "recall_per_query": _sql(
         [*_IVF, "exact10", "cand50"],
         """SELECT e.query_id, count(c.id) AS found, count(*) AS wanted, round(count(c.id) / count(*), 6) AS recall
@@ -408,4 +415,5 @@ ORACLES = {
         per_user=_per_user("lists", "cold_labels", by="model"),
     ),
 }
+ORACLES["knn_bounded"] = ORACLES["knn_exact"]
 ORACLES["log_counts_by_statement"] = ORACLES["log_counts"]

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from earshot.functions.counts import drop_low, log_compress, modify
 from earshot.functions.hashing import drawn
-from earshot.operators import ann, coldstart, features, forest, graph, histories, metrics, models, quantiser, recommend, splits
+from earshot.operators import ann, bounded, coldstart, features, forest, graph, histories, metrics, models, quantiser, recommend, splits
 from earshot.operators.indexing import apply_index, fit_index
 from earshot.plans import study
 from earshot.plans.coldstart import Content, cold_start_trial, compare_factors, predicted_factors, raw_features, training_parts
@@ -313,6 +313,45 @@ def knn_exact(spark, root):
     return found.withColumns({**_big("rank"), **_round("score")})
 
 
+def knn_bounded(spark, root):
+    """As ``knn_exact``, without the blocks whose bound cannot reach a query's k-th."""
+    vectors = tables.factors(spark, root)
+    found = bounded.bounded_top_k(_asked(vectors), bounded.fit_blocks(vectors), NEIGHBOURS, "l2").found
+    return found.withColumns({**_big("rank"), **_round("score")})
+
+
+def _profiles(spark, root):
+    """Users as vectors of whole numbers: items, plays, largest and smallest count."""
+    plays = F.col("count").cast("bigint")
+    values = [F.count(F.lit(1)), F.sum(plays), F.max(plays), F.min(plays)]
+    users = tables.interactions(spark, root).groupBy(F.col("user_id").alias("id"))
+    return stored(users.agg(F.array(*[v.cast("double") for v in values]).alias("features")), "profiles")
+
+
+def profile_neighbours(spark, root):
+    """The users most like each user in what they played."""
+    users = _profiles(spark, root)
+    found = bounded.bounded_top_k(_asked(users), bounded.fit_blocks(users), NEIGHBOURS, "l2").found
+    return found.withColumns(_big("rank"))
+
+
+def bounded_cost(spark, root):
+    """Share of all pairs that the bounded searches score: user profiles, ALS factors, given vectors."""
+    users, vectors = _profiles(spark, root), tables.factors(spark, root)
+    model = models.fit_als(_prepared(spark, root).train, models.Params(10, 0.1, 1.0), **FIT)
+    searches = {
+        "profiles": (users, users, NEIGHBOURS, "l2"),
+        "als": (stored(model.userFactors, "users"), stored(model.itemFactors, "items"), NEIGHBOURS, "dot"),
+        "vectors": (vectors, vectors, NEIGHBOURS, "l2"),
+    }
+    costs = {}
+    for name, (asking, items, k, metric) in searches.items():
+        blocks = bounded.fit_blocks(items)
+        search = bounded.bounded_top_k(_asked(asking), blocks, k, metric)
+        costs[name] = bounded.visited_share(search.visits, blocks, asking)
+    return study.stack(costs, "search")
+
+
 def ivf_assign(spark, root):
     vectors = tables.factors(spark, root)
     centres = stored(_label_centres(vectors), "centres")
@@ -646,6 +685,9 @@ QUERIES = {
         als_count_variants,
         count_variant_rows,
         knn_exact,
+        knn_bounded,
+        profile_neighbours,
+        bounded_cost,
         ivf_assign,
         ivf_search,
         ivf_fitted_search,

@@ -7,6 +7,7 @@ in order. Queries whose result depends on a fitted model have no twin.
 from __future__ import annotations
 
 from earshot.functions.hashing import threshold
+from earshot.operators.bootstrap import DRAWS, poisson_thresholds
 from earshot.operators.histories import PARTS as HISTORY_PARTS
 from earshot.operators.models import TRAIN_SHARE
 from earshot.operators.splits import TEST_SHARE, VALID_SHARE
@@ -47,6 +48,21 @@ def _lists(users: str, items: str, k: int) -> str:
         FROM {users} u, {items} i QUALIFY position <= {k}"""
 
 
+def _weight(*keys: str) -> str:
+    """Poisson weight of a row in a draw, as hashed thresholds."""
+    hashed = _hash("'bootstrap'", *keys)
+    return f"len(list_filter({poisson_thresholds()}, lambda least: least <= {hashed}))"
+
+
+def _interval(source: str, value: str, key: str) -> str:
+    return f"""
+        SELECT (SELECT count(*) FROM {source}) AS n, (SELECT round(avg({value}), 6) FROM {source}) AS mean,
+               round(quantile_cont(resampled, 0.025), 6) AS low, round(quantile_cont(resampled, 0.975), 6) AS high
+        FROM (SELECT draw, sum({value} * weight) / sum(weight) AS resampled
+              FROM (SELECT *, {_weight("draw", key)} AS weight FROM {source}, range({DRAWS}) AS d(draw))
+              WHERE weight > 0 GROUP BY draw)"""
+
+
 _AUDIO_COLUMNS = ", ".join(f"embedding[{i + 1}]::DOUBLE AS {name}" for i, name in enumerate(AUDIO))
 _INPUTS = [*TIMBRE, "loudness_std", "loudness_mean", "duration", "artist_hotttnesss", "artist_familiarity", "year"]
 
@@ -317,6 +333,24 @@ ORACLES = {
             SELECT user_id AS id, [count(*), sum(count), max(count), min(count)]::DOUBLE[] AS features
             FROM inter GROUP BY user_id""",
     ),
+    "bootstrap_weights": _sql(
+        ["vec"],
+        f"SELECT id, draw, weight FROM (SELECT id, draw, {_weight('draw', 'id')} AS weight FROM vec, range(10) AS d(draw)) WHERE weight > 0",
+    ),
+    "recall_interval": _sql(
+        [*_IVF, "exact10", "cand50"],
+        _interval("per_query", "recall", "query_id"),
+        per_query="""
+            SELECT e.query_id, round(count(c.id) / count(*), 6) AS recall
+            FROM exact10 e LEFT JOIN cand50 c USING (query_id, id) GROUP BY 1""",
+    ),
+    "map_interval": _sql(
+        _POPULAR,
+        _interval("precision_of_users", "ap", "user_index"),
+        lists=_EVERYONE.format("labels"),
+        per_user=_per_user("lists", "labels"),
+        precision_of_users="SELECT user_index, round(ap, 6) AS ap FROM per_user",
+    ),
     "recall_per_query": _sql(
         [*_IVF, "exact10", "cand50"],
         """SELECT e.query_id, count(c.id) AS found, count(*) AS wanted, round(count(c.id) / count(*), 6) AS recall

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from earshot.functions.counts import drop_low, log_compress, modify
 from earshot.functions.hashing import drawn
-from earshot.operators import ann, bounded, coldstart, features, forest, graph, histories, metrics, models, quantiser, recommend, splits
+from earshot.operators import ann, bootstrap, bounded, coldstart, features, forest, graph, histories, metrics, models, quantiser, recommend, splits
 from earshot.operators.indexing import apply_index, fit_index
 from earshot.plans import study
 from earshot.plans.coldstart import Content, cold_start_trial, compare_factors, predicted_factors, raw_features, training_parts
@@ -377,6 +377,25 @@ def recall_per_query(spark, root):
     return ann.recall_per_query(approx, exact).withColumns(_round("recall"))
 
 
+def bootstrap_weights(spark, root):
+    """How often every vector occurs in each of ten samples with replacement."""
+    drawn_ = bootstrap.resampled(tables.factors(spark, root).select("id"), "id", draws=10)
+    return drawn_.select("id", "draw", "weight")
+
+
+def recall_interval(spark, root):
+    """Mean recall of the cell search with the interval its queries allow."""
+    per_query = stored(recall_per_query(spark, root), "recall")
+    found = bootstrap.mean_interval(per_query, "recall", "query_id")
+    return found.withColumns(_round("mean", "low", "high"))
+
+
+def map_interval(spark, root):
+    """Mean average precision of the popular list, with its interval over test users."""
+    per_user = stored(user_average_precision(spark, root), "precision")
+    return bootstrap.mean_interval(per_user, "ap", "user_index").withColumns(_round("mean", "low", "high"))
+
+
 def recall_sweep(spark, root):
     vectors, centres, indexed = _ivf(spark, root)
     sweep = [*range(1, 10)]
@@ -699,6 +718,9 @@ QUERIES = {
         code_recall,
         lsh_search,
         recall_per_query,
+        bootstrap_weights,
+        recall_interval,
+        map_interval,
         recall_sweep,
         recall_growing_truth,
         method_comparison,

@@ -12,10 +12,10 @@ from earshot.operators.ann import (
     fit_buckets,
     fit_cells,
     hash_buckets,
-    mean_recall,
     overfetch_recall,
     timed,
 )
+from earshot.operators.bootstrap import mean_interval
 from earshot.operators.splits import sample_queries
 from earshot.session import stored
 
@@ -24,7 +24,7 @@ TOP_K = 100
 QUERIES = 50
 MULTIPLIERS = (1, 5)
 
-COMPARISON = "method string, multiplier int, queries bigint, recall double, queries_per_second double"
+COMPARISON = "method string, multiplier int, queries bigint, recall double, recall_low double, recall_high double, queries_per_second double"
 
 
 def compare_methods(
@@ -37,8 +37,9 @@ def compare_methods(
     bucket_length: float = 0.5,
     tables: int = 8,
 ) -> DataFrame:
-    """(method, multiplier, queries, recall, queries_per_second), one row per method and multiplier.
+    """(method, multiplier, queries, recall, recall_low, recall_high, queries_per_second), one row per method and multiplier.
 
+    The interval of the recall is that of resampled queries, which are a sample themselves.
     Here the exact side also grows to k*m, and fetching m times as much visits m times as many
     cells. Index construction is not part of the search time, and every row is timed on its own.
     """
@@ -59,6 +60,7 @@ def compare_methods(
         for name, search in methods.items():
             found, seconds = timed(name, lambda: search(m))
             truth = found if truth is None else truth
-            recall = mean_recall(overfetch_recall(found, truth, k, [m], exact_k="k*m")).first()
-            rows.append((name, m, recall["queries"], recall["recall"], recall["queries"] / seconds))
+            per_query = overfetch_recall(found, truth, k, [m], exact_k="k*m")
+            recall = mean_interval(per_query, "recall", "query_id").first()
+            rows.append((name, m, recall["n"], recall["mean"], recall["low"], recall["high"], recall["n"] / seconds))
     return vectors.sparkSession.createDataFrame(rows, COMPARISON)

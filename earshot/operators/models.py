@@ -20,6 +20,7 @@ from earshot.operators.metrics import mean_average_precision
 from earshot.operators.recommend import LIST_LENGTH, recommend
 from earshot.session import scratch_root
 from earshot.sources.gridstore import GridStore, fingerprint, row_mark
+from earshot.sources.versions import current_path
 
 # The parameter grid, the sample share, and the directory name of a saved model.
 RANKS = (5, 10, 20, 30, 50, 80)
@@ -75,12 +76,13 @@ def save_model(model, path: str) -> None:
 
 
 def load_als(path: str) -> ALSModel:
-    return ALSModel.load(path)
+    """The model at ``path``, or its current version where versions were published."""
+    return ALSModel.load(current_path(SparkSession.active(), path))
 
 
 def load_factors(spark: SparkSession, path: str, side: str = "item") -> DataFrame:
     """(id, features) straight from a model directory; ``side`` is ``item`` or ``user``."""
-    return spark.read.parquet(f"{path}/{side}Factors")
+    return spark.read.parquet(f"{current_path(spark, path)}/{side}Factors")
 
 
 BOARD = "position int, rank int, reg double, alpha double, map double, coverage double, fit_seconds double, score_seconds double"

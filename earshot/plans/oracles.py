@@ -438,6 +438,12 @@ ORACLES = {
         ["vec", "dims", "centres", "cold", "patched"],
         """SELECT id, unnest(range(len(features))) AS dim, round(unnest(features)::DOUBLE, 5) AS value FROM patched""",
     ),
+    "versioned_factors": _sql(
+        ["vec", "dims", "centres", "cold", "patched"],
+        """SELECT version, id, unnest(range(len(features))) AS dim, round(unnest(features)::FLOAT::DOUBLE, 5) AS value
+           FROM (SELECT '1' AS version, id, features::DOUBLE[] AS features FROM vec
+                 UNION ALL SELECT '2', id, features::DOUBLE[] FROM patched)""",
+    ),
     "cold_vs_full": _sql(
         [*_INDEXED, "xtrain", "labels", "vec", "dims", "centres", "cold", "patched"],
         _means("cold_labels", by="model"),
@@ -449,5 +455,6 @@ ORACLES = {
         per_user=_per_user("lists", "cold_labels", by="model"),
     ),
 }
+ORACLES["item_features_colocated"] = ORACLES["item_features"]
 ORACLES["knn_bounded"] = ORACLES["knn_exact"]
 ORACLES["log_counts_by_statement"] = ORACLES["log_counts"]

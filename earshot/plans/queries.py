@@ -19,7 +19,8 @@ from earshot.plans.coldstart import Content, cold_start_trial, compare_factors,
 from earshot.plans.prepare import Prepared, count_variants, prepare
 from earshot.plans.search import compare_methods
 from earshot.session import scratch_path, stored
-from earshot.sources import store, tables
+from earshot.sources import store, tables, versions
+from earshot.sources.colocated import colocate
 
 K = recommend.LIST_LENGTH
 CUTOFFS = (10, 100, 500)
@@ -544,16 +545,49 @@ def _content(spark, root) -> Content:
     )
 
 
-def item_features(spark, root):
-    """The four-way join, with the artist index and the size of the term vectors."""
+def _feature_parts(spark, root) -> dict[str, DataFrame]:
+    """The four side tables with one row per item: artist index, audio, sizes of the term vectors."""
     content = _content(spark, root)
     artists = fit_index(content.metadata, "artist_id", "artist_idx")
-    meta = apply_index(content.metadata, artists, "artist_id", unseen="error").drop("artist_id")
     n = F.count(F.lit(1))
-    tags = content.tags.groupBy("track_id").agg(n.alias("n_tags"))
-    lyrics = features.words(content.lyrics, "track_id").groupBy("track_id").agg(n.alias("n_words"))
-    joined = features.item_table("track_id", meta, content.audio, tags, lyrics)
-    return joined.withColumns({**_big("artist_idx"), **_round(*features.input_columns(content.audio))})
+    lyrics = features.words(content.lyrics, "track_id")
+    return {
+        "metadata": apply_index(content.metadata, artists, "artist_id", unseen="error").drop("artist_id"),
+        "audio": content.audio,
+        "tags": content.tags.groupBy("track_id").agg(n.alias("n_tags")),
+        "lyrics": lyrics.groupBy("track_id").agg(n.alias("n_words")),
+    }
+
+
+def _shown(joined: DataFrame) -> DataFrame:
+    return joined.withColumns({**_big("artist_idx"), **_round(*features.input_columns(joined))})
+
+
+def item_features(spark, root):
+    """The four-way join, with the artist index and the size of the term vectors."""
+    return _shown(features.item_table("track_id", *_feature_parts(spark, root).values()))
+
+
+def item_features_colocated(spark, root):
+    """The same join of side tables written in buckets of the item: nothing is shuffled to join them."""
+    parts = {name: stored(df, name) for name, df in _feature_parts(spark, root).items()}
+    tables_ = colocate(parts, "track_id")
+    try:
+        return stored(_shown(tables_.joined()), "items")
+    finally:
+        tables_.drop()
+
+
+def versioned_factors(spark, root):
+    """The factor table before and after its patch, as versions of one table."""
+    vectors, _, patched = _patched(spark, root)
+    path = scratch_path(spark, "factors")
+    versions.publish_table(vectors.select("id", "features"), path)
+    versions.publish_table(patched, path)
+    found = {str(n): versions.read_table(spark, path, n) for n in versions.Versions(spark, path).numbers()}
+    rows = [df.select(F.lit(n).alias("version"), "id", F.posexplode("features").alias("dim", "value")) for n, df in found.items()]
+    both = rows[0].unionByName(rows[1])
+    return both.withColumns({**_big("id", "dim"), "value": F.round(F.col("value").cast("float").cast("double"), 5)})
 
 
 def item_preview(spark, root):
@@ -731,6 +765,8 @@ QUERIES = {
         tags_marked_frequent,
         lyrics_bag_of_words,
         item_features,
+        item_features_colocated,
+        versioned_factors,
         item_preview,
         scaled_features,
         full_features,

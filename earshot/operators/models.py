@@ -94,7 +94,7 @@ def train_grid(train: DataFrame, points: list[Params], root: str, share: float =
     try:
         fit["blocks"] = fit.get("blocks") or _blocks(train, train.count())
         save = lambda p: save_model(fit_als(train, p, **fit), model_path(root, p, share))
-        _together(train.sparkSession, save, points, fit["blocks"])
+        together(train.sparkSession, save, points, fit["blocks"])
     finally:
         train.unpersist()
 
@@ -103,7 +103,7 @@ def evaluate_grid(labels: DataFrame, points: list[Params], root: str, share: flo
     """Leaderboard of saved models on held-out labels."""
     labels = labels.select("user_index", "item_index").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        rows = _together(labels.sparkSession, lambda p: _score(labels, p, lambda: load_als(model_path(root, p, share)), k), points, 1)
+        rows = together(labels.sparkSession, lambda p: _score(labels, p, lambda: load_als(model_path(root, p, share)), k), points, 1)
     finally:
         labels.unpersist()
     return _board(labels.sparkSession, points, rows)
@@ -131,7 +131,7 @@ def grid_search(
             return row
 
         missing = [p for p in points if _point_name(p) not in done]
-        done.update(zip(map(_point_name, missing), _together(spark, finish, missing, fit["blocks"])))
+        done.update(zip(map(_point_name, missing), together(spark, finish, missing, fit["blocks"])))
     finally:
         train.unpersist()
         labels.unpersist()
@@ -146,7 +146,7 @@ def _blocks(train: DataFrame, rows: int) -> int:
     return max(1, min(-(-rows // ROWS_PER_BLOCK), train.sparkSession.sparkContext.defaultParallelism))
 
 
-def _together(spark: SparkSession, work: Callable, points: list[Params], blocks: int) -> list:
+def together(spark: SparkSession, work: Callable, points: list, blocks: int) -> list:
     """``work`` of every point, as many at once as their blocks leave cores; results in order.
 
     A point that fails ends the search after those under way; what is finished stays committed.

@@ -444,6 +444,12 @@ ORACLES = {
            FROM (SELECT '1' AS version, id, features::DOUBLE[] AS features FROM vec
                  UNION ALL SELECT '2', id, features::DOUBLE[] FROM patched)""",
     ),
+    "als_saved_factors": _sql(
+        [*_INDEXED, "xtrain"],
+        """SELECT side, CASE side WHEN 'user' THEN users ELSE items END AS n, 5 AS rank
+           FROM (SELECT count(DISTINCT user_index) AS users, count(DISTINCT item_index) AS items FROM xtrain),
+                (SELECT unnest(['loaded items', 'item', 'user']) AS side)""",
+    ),
     "cold_vs_full": _sql(
         [*_INDEXED, "xtrain", "labels", "vec", "dims", "centres", "cold", "patched"],
         _means("cold_labels", by="model"),

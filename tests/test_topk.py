@@ -165,3 +165,37 @@ def test_unseen_without_items_queries_or_pairs(spark, vectors):
     assert got(topk.top_k_unseen(queries, items, none, 4, "l2")) == got(top_k(queries, items, 4, "l2"))
     assert topk.top_k_unseen(queries, items.limit(0), none, 4, "l2").count() == 0
     assert topk.top_k_unseen(queries.limit(0), items, none, 4, "l2").count() == 0
+
+
+def test_items_stream_past_blocks_of_queries_and_only_k_rows_leave(spark, vectors, small_blocks, monkeypatch):
+    q, x = vectors
+    asked = frame(spark, "q", q).selectExpr("q", "3 as k", "features as vec")
+    items = frame(spark, "x", x).selectExpr("x", "features as vec")
+    found, complete = topk._stream_all(asked, items, 40, "l2")
+    assert not complete and found.count() > 120  # few blocks: items are dealt over the cores as well
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 1)
+    found, complete = topk._stream_all(asked, items, 40, "l2")
+    assert complete and got(found.withColumnsRenamed({"q": "query_id", "x": "id"})) == brute(q, x, [3] * 40, "l2")
+
+
+def test_a_bar_leaves_out_what_cannot_be_among_the_k_best():
+    rng = np.random.default_rng(8)
+    q, x = rng.normal(size=(5, 4)), rng.normal(size=(60, 4))
+    for metric in ("dot", "l2"):
+        run = topk._Running(topk.pa.table({"id": range(5), "k": topk.pa.array([4] * 5, topk.pa.int32()), "vec": q.tolist()}), metric)
+        for at in (range(0, 30), range(30, 60)):
+            run.meet(topk.pa.table({"id": list(at), "vec": x[at].tolist()}))
+        rows = [r for batch in run.found() for r in batch.to_pylist()]
+        assert [(r["q"], r["x"], r["rank"]) for r in rows] == brute(q, x, [4] * 5, metric)
+
+
+def test_seen_words_become_bitmaps():
+    rng = np.random.default_rng(4)
+    bits = rng.random(topk.MASK_BITS) < 0.01
+    bits[63] = True  # the sign of a word
+    words = np.packbits(bits, bitorder="little").view("<i8")
+    entries = [{"word": i, "bits": int(w)} for i, w in enumerate(words) if w]
+    left = topk.pa.table({"q": [1, 2, 3], "words": [None, entries, entries[:1]]})
+    masks = topk._with_masks(left).column("mask").to_pylist()
+    assert masks[0] is None and masks[1] == np.packbits(bits, bitorder="little").tobytes()
+    assert np.frombuffer(masks[2], "<i8")[1:].sum() == 0

@@ -138,7 +138,7 @@ RULES = [
 ]
 CLAUSE = "another clause"  # stands for an unknown numbered one; never reported
 
-HINTS = ("licen", "copyright", "redistribut", "program", "permission")  # one is in every known sentence; single words, as lines may be wrapped
+HINTS = ("licen", "copyright", "redistribut", "program", "permission", "software")  # one is in every known sentence; single words, as lines may be wrapped
 PIECE_END = re.compile(r"(?<=[.!?;:])\s")
 LIST_NUMBER = re.compile(r"\W*[0-9]{1,2}[.):]\s*")
 COMMENT_WORD = re.compile(r"\s*@?(?:rem|dnl)\s")  # marks of letters; the others fall to normalise()

@@ -134,8 +134,8 @@ RULES = [
     (("ccbync4",), "CC-BY-NC-4.0"),
     (("ccbysa4",), "CC-BY-SA-4.0"),
     (("ccby4",), "CC-BY-4.0"),
-    *(((f"spdx:{name}",), name) for name in sorted(set(SPDX.values()))),
 ]
+SPDX_RULES = [((f"spdx:{name}",), name) for name in sorted(set(SPDX.values()))]  # for identifiers, which are no sentences
 CLAUSE = "another clause"  # stands for an unknown numbered one; never reported
 
 HINTS = ("licen", "copyright", "redistribut", "program", "permission", "software")  # one is in every known sentence; single words, as lines may be wrapped
@@ -232,7 +232,7 @@ def match_rules(ids: list[str | None]) -> tuple[list[str], list[str]]:
     found, rest, at = [], [], 0
     while at < len(ids):
         if ids[at] is not None and ids[at] != CLAUSE:
-            for sequence, name in RULES:
+            for sequence, name in RULES + SPDX_RULES:
                 more = name.startswith("BSD") and ids[at + len(sequence) : at + len(sequence) + 1] == [CLAUSE]
                 if tuple(ids[at : at + len(sequence)]) == sequence and not more:
                     found.append(name)

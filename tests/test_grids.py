@@ -1,5 +1,6 @@
 """The registered searches run over the whole grids, and share their fits."""
 
+import threading
 from types import SimpleNamespace
 
 from earshot.operators import coldstart, models
@@ -47,3 +48,25 @@ def test_forest_query_searches_every_point_on_both_feature_sets(spark, monkeypat
     got = {(r.feature_set, r["name"]) for r in queries.forest_grid_best(spark, "").collect()}
     assert got == {("short", "y"), ("full", "y")}
     assert asked == [(full, list(coldstart.forest_grid())) for full in (False, True)] and len(asked[0][1]) == 15
+
+
+def test_fits_of_several_blocks_run_beside_each_other(spark, tmp_path, monkeypatch):
+    """Four fits of four blocks each on eight cores wait for each other; two at a time would never meet."""
+    meeting, started = threading.Barrier(4, timeout=60), []
+
+    def score(labels, params, model_for, k):
+        started.append(params.rank)
+        meeting.wait()
+        return {"map": float(params.rank), "coverage": 1.0, "fit_seconds": 0.0, "score_seconds": 0.0}
+
+    monkeypatch.setattr(models, "_score", score)
+    rows = spark.createDataFrame([(1, 2, 3.0)], "user_index int, item_index int, count double")
+    points = models.grid((2, 3, 4, 5), (0.1,), (1.0,))
+    board = models.grid_search(rows, rows, points, store=str(tmp_path), blocks=4).orderBy("position").collect()
+    assert [(r["rank"], r["map"]) for r in board] == [(2, 2.0), (3, 3.0), (4, 4.0), (5, 5.0)] and sorted(started) == [2, 3, 4, 5]
+
+
+def test_points_under_way_are_bounded_by_their_rows(spark):
+    train = spark.range(1)
+    assert models._fits_at_once(train, 570_000) == 14 and models._fits_at_once(train, 34_000_000) == 2
+    assert [p.rank for p in models._longest_first(models.grid((5, 80, 10), (0.1,), (1.0,)))] == [80, 10, 5]

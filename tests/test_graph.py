@@ -55,3 +55,15 @@ def test_few_equal_and_no_vectors(spark):
     assert graph.graph_search(queries._asked(one), graph.build_graph(one), 3).count() == 1
     none = graph.build_graph(one.limit(0))
     assert none.count() == 0 and graph.graph_search(queries._asked(one), none, 3).count() == 0
+
+
+def test_pairs_that_met_before_or_stand_above_the_bar_do_not_leave_a_task(spark):
+    rows = [([1, 2, 3], [[0.0], [1.0], [3.0]], [True, False, False], [float("inf"), 0.5, float("inf")])]
+    groups = spark.createDataFrame(rows, "ids array<long>, vectors array<array<float>>, fresh array<boolean>, bars array<double>")
+    assert sorted(tuple(r) for r in graph._met(groups, 2).collect()) == [(1, 2, 1.0), (1, 3, 9.0), (3, 1, 9.0)]
+
+
+def test_vectors_move_in_single_precision_only_where_it_holds_them(spark):
+    exact, other = frame(spark, [[0.5, -2.0]]), frame(spark, [[0.1, -2.0]])
+    kinds = [graph.build_graph(f).schema["features"].dataType.elementType.typeName() for f in (exact, other)]
+    assert kinds == ["float", "double"]

@@ -199,3 +199,13 @@ def test_seen_words_become_bitmaps():
     masks = topk._with_masks(left).column("mask").to_pylist()
     assert masks[0] is None and masks[1] == np.packbits(bits, bitorder="little").tobytes()
     assert np.frombuffer(masks[2], "<i8")[1:].sum() == 0
+
+
+def test_a_few_queries_are_broadcast_rather_than_all_items(spark):
+    items = spark.range(200).select(F.col("id").alias("x"), F.array(F.col("id").cast("double")).alias("vec"))
+    asked = items.where("x < 10").select(F.col("x").alias("q"), F.lit(5).alias("k"), "vec")
+    assert topk._layout(asked, items, 10, 200, 5) == topk._layout(asked, items, 10, 200, "k") == "queries"
+    assert topk._layout(asked, items, 10, 60, 5) == "items"
+    queries, vectors = asked.select(F.col("q").alias("query_id"), F.col("vec").alias("features")), items.select(F.col("x").alias("id"), F.col("vec").alias("features"))
+    found = {how: sorted(map(tuple, topk.top_k(queries, vectors, 5, "l2", layout=how).collect())) for how in (None, "items")}
+    assert found[None] == found["items"] and len(found[None]) == 50

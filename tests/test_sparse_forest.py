@@ -1,0 +1,93 @@
+"""Forests over entries, and the comparison that grows a grid of them once."""
+
+import numpy as np
+import pytest
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.linalg import Vectors
+
+from earshot.operators import coldstart, sparse_forest
+from earshot.operators.metrics import error_rate
+
+
+@pytest.fixture(scope="module")
+def rows(spark):
+    """Negative and positive dense values, rare words, and a word per class that most of its rows have."""
+    draw = np.random.default_rng(1)
+    found = []
+    for i in range(900):
+        label = int(draw.integers(0, 4))
+        entries = {0: float(draw.normal() + 0.7 * label), 1: float(draw.normal())}
+        entries |= {int(w): float(draw.integers(1, 4)) for w in draw.integers(2, 300, 20)}
+        if draw.random() < 0.6:
+            entries[300 + label] = 1.0
+        found.append((i, Vectors.sparse(400, entries), label))
+    df = spark.createDataFrame(found, ["item", "features", "label"])
+    return df.where("item < 600"), df.where("item >= 600")
+
+
+def _error(df):
+    return error_rate(df).first()["error_rate"]
+
+
+def test_a_grid_of_forests_is_one_growth_and_never_spark_s_dense_one(rows, monkeypatch):
+    grown, grow = [], sparse_forest.grow
+    monkeypatch.setattr(sparse_forest, "grow", lambda train, *a, **b: grown.append(a) or grow(train, *a, **b))
+    monkeypatch.setattr(RandomForestClassifier, "fit", lambda *a: pytest.fail("makes a dense row of all features"))
+    grid = coldstart.forest_grid((2, 8), (2, 30))
+    report, models = coldstart.compare_classifiers(*rows, rows[1], grid)
+    found = {r.name: r for r in report.collect()}
+    assert grown == [(30, 8)] and list(found) == list(grid) == list(models)
+    for name, model in models.items():
+        assert _error(model.transform(rows[1])) == pytest.approx(found[name].test_error)
+    assert found["depth 8, 30 trees"].train_error < 0.15 < found["depth 2, 2 trees"].train_error
+
+
+def test_as_good_as_spark_s_forest(rows):
+    train, test = rows
+    forests = sparse_forest.grow(train, 30, 8)
+    theirs = RandomForestClassifier(numTrees=30, maxDepth=8, seed=1).fit(train)
+    assert _error(sparse_forest.ForestModel(forests, 30, 8).transform(test)) == pytest.approx(_error(theirs.transform(test)), abs=0.08)
+
+
+def test_a_smaller_forest_is_the_beginning_of_a_larger_one_whatever_the_layout(rows):
+    train, test = rows
+    large = sparse_forest.grow(train, 12, 6).predict(test, [(5, 3)])
+    small = sparse_forest.grow(train.repartition(7), 5, 3).predict(test.coalesce(1), [(5, 3)])
+    votes = [sorted((r.label, r.prediction) for r in df.collect()) for df in (large, small)]
+    assert votes[0] == votes[1] and len(votes[0]) == 300
+
+
+def test_one_split_against_brute_force(spark):
+    """All features, one tree: the root's split lowers the weighted impurity most."""
+    draw = np.random.default_rng(4)
+    values = draw.integers(-2, 3, (80, 5)).astype(float)
+    labels = ((values[:, 3] > 0) ^ (draw.random(80) < 0.1)).astype(int)
+    train = spark.createDataFrame([(i, Vectors.dense(v), int(y)) for i, (v, y) in enumerate(zip(values, labels))], ["item", "features", "label"])
+    forests = sparse_forest.grow(train, 1, 1)
+    keys = [r.k for r in train.selectExpr("item", "xxhash64(item) AS k").orderBy("item").collect()]
+    weight = np.searchsorted(sparse_forest._POISSON, sparse_forest._hash(np.array(keys), 1, 0, 1) / 2.0**64, side="right")
+
+    def purity(some):
+        n = weight[some].sum()
+        return sum(weight[some & (labels == c)].sum() ** 2 for c in (0, 1)) / n if n else -np.inf
+
+    best = max(purity(values[:, f] > t) + purity(values[:, f] <= t) for f in range(5) for t in (-1.5, -0.5, 0.5, 1.5))
+    (node,), (feature,), (split,), _ = forests.trees[0]
+    right = values[:, feature] > [-1.5, -0.5, 0.5, 1.5][split]
+    assert node == 1 and purity(right) + purity(~right) == pytest.approx(best)
+
+
+def test_zero_rows_and_a_single_class(spark):
+    rows = [(i, Vectors.sparse(3, {}), 2) for i in range(4)]
+    train = spark.createDataFrame(rows, ["item", "features", "label"])
+    model = sparse_forest.ForestModel(sparse_forest.grow(train, 3, 4), 3, 4)
+    assert [(r.item, r.prediction) for r in model.transform(train).orderBy("item").collect()] == [(i, 2.0) for i in range(4)]
+
+
+def test_a_linear_model_keeps_no_coefficient_of_a_feature_without_training_row(spark, rows):
+    train, test = rows
+    model = coldstart._fit(coldstart.logistic_regression(), train.select("features", "label"))
+    assert model.stages[-1].numFeatures == 304
+    whole = coldstart.logistic_regression().fit(train)
+    both = [{r.item: r.prediction for r in m.transform(test).collect()} for m in (model, whole)]
+    assert np.mean([both[0][i] == both[1][i] for i in both[0]]) > 0.98

@@ -74,6 +74,25 @@ def test_sweep_equals_separate_searches(queries, index):
         assert sorted(map(tuple, part.collect())) == sorted(map(tuple, alone.select("query_id", "id", "rank").collect()))
 
 
+def test_sweep_asks_each_cell_of_a_query_once(queries, index, monkeypatch):
+    """Its searches do not grow with the number of multipliers that visit a cell."""
+    asked, search = [], ann.top_k
+    monkeypatch.setattr(ann, "top_k", lambda q, x, *a, **b: (b.get("cell") and asked.append(q.count())) or search(q, x, *a, **b))
+    centres, indexed = index
+    ann.cell_sweep(queries, indexed, centres, 4, 1, [1, 2, 3]).collect()
+    assert asked == [3 * queries.count()]  # six cells a query if every multiplier asked on its own
+
+
+def test_sweep_counts_an_item_of_several_cells_once(spark, queries, index):
+    centres, indexed = index
+    twice = indexed.union(indexed.withColumn("cell", (F.col("cell") + 1) % centres.count()))
+    sweep = ann.cell_sweep(queries, twice, centres, 4, 1, [1, 3])
+    for m in (1, 3):
+        alone = ann.cell_search(queries, twice, centres, 4 * m, m)
+        part = sweep.where(F.col("multiplier") == m).select("query_id", "id", "rank")
+        assert sorted(map(tuple, part.collect())) == sorted(map(tuple, alone.select("query_id", "id", "rank").collect()))
+
+
 def test_buckets_search_is_exact_when_all_share_one(queries, vectors):
     exact = ann.exact_neighbours(queries, vectors, 10)
     wide = ann.fit_buckets(vectors, bucket_length=1e6, tables=1)

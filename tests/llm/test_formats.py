@@ -1,6 +1,7 @@
 """Chat formatting, token files, URL rules and licences."""
 
 import hashlib
+import random
 import zlib
 
 import public_tokenizers
@@ -88,6 +89,27 @@ def test_documents_of_the_test_tables_encode_as_a_whole(spark, data):
     assert [x.tolist() for x in tokenids.encoder(PATH).encode(texts)] == [_whole(t) for t in texts]
 
 
+def test_a_word_is_encoded_once_whatever_marks_follow_it(monkeypatch):
+    use, seen = tokenids.PieceEncoder(PATH), []
+    inner = use.encode_pieces
+    monkeypatch.setattr(use, "encode_pieces", lambda pieces: seen.extend(pieces) or inner(pieces))
+    texts = [" Zugabe Zugabe. Zugabe, Zugabe!!", " Zugabe... Zugabe7 Zugabe's Zugabe'"]
+    assert [x.tolist() for x in use.encode(texts)] == [_whole(t) for t in texts]
+    assert sorted(p for p in seen if "Zug" in p) == [" Zugabe", " Zugabe'", " Zugabe's"]
+
+
+def test_marks_white_space_and_strange_letters_in_any_order():
+    parts = ["a", "B", "the", " ", "  ", "\n", "\n\n", "\t", ".", ",", "!?", "'s", "'", "don't", "\u00e9", "\u00df", "\u00d7", "\u00aa", "42", "\u00b2", "_", "-", "<", "|"]
+    parts += ["<|endoftext|>", "\u00a0", "\u3000", "\u65e5\u672c", "\u0301", "\u0250", "\u044f", "\u200b", "\r\n", "\x1c", "\x85", "\\", "^", "@a.b", "\0"]
+    draw = random.Random(5)
+    use = tokenids.PieceEncoder(PATH, max_kept=500, max_piece=8)  # kept pieces are dropped often
+    whole = tokenids.PieceEncoder(PATH).tokenizer.encode
+    for k in range(40):
+        texts = ["".join(draw.choices(parts[: -1 if k % 4 else None], k=draw.randrange(40))) for _ in range(50)]
+        assert [x.tolist() for x in use.encode(texts)] == [whole(t, add_special_tokens=False).ids for t in texts]
+
+
+
 @given(st.binary(), st.binary())
 def test_checksums_join(a, b):
     assert tokenids.crc_of_joined(zlib.crc32(a), zlib.crc32(b), len(b)) == zlib.crc32(a + b)

@@ -5,7 +5,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from earshot.operators import ann, topk
+from earshot.plans import queries as registered
 from earshot.plans.search import compare_methods
+from earshot.sources import tables
 
 
 @pytest.fixture(scope="module")
@@ -148,3 +150,23 @@ def test_the_clock_runs_while_a_search_is_built(spark):
         return spark.range(3)
 
     assert ann.timed("slow", slow)[1] >= 0.3
+
+
+def test_buckets_met_by_streaming_give_the_same_rows(queries, vectors, monkeypatch):
+    """Sides too large for a broadcast, of which most pairs share a bucket: as listing them by bucket."""
+    for length, n in ((3.0, 4), (0.4, 3)):
+        model = ann.fit_buckets(vectors, bucket_length=length, tables=n)
+        hashed = ann.hash_buckets(model, vectors)
+        listed = sorted(map(tuple, ann.bucket_search(model, queries, hashed, 10).select("query_id", "id", "score", "rank").collect()))
+        monkeypatch.setattr(ann.topk, "MAX_SIDE_BYTES", 0)
+        monkeypatch.setattr(ann.topk, "FIRST_ITEMS", 16)
+        streamed, asked = [], ann.top_k_sharing
+        monkeypatch.setattr(ann, "top_k_sharing", lambda *a: streamed.append(1) or asked(*a))
+        got = sorted(map(tuple, ann.bucket_search(model, queries, hashed, 10).select("query_id", "id", "score", "rank").collect()))
+        assert got == listed and len(streamed) == (length == 3.0)
+        monkeypatch.undo()
+
+
+def test_the_registered_bucket_search_asks_every_vector(spark, data):
+    ids = {r.id for r in tables.factors(spark, data).select("id").collect()}
+    assert {r.query_id for r in registered.lsh_search(spark, data).select("query_id").distinct().collect()} == ids

@@ -7,6 +7,7 @@ from pyspark.ml.linalg import Vectors
 
 from earshot.operators import coldstart, sparse_forest
 from earshot.operators.metrics import error_rate
+from earshot.operators.models import save_model
 
 
 @pytest.fixture(scope="module")
@@ -91,3 +92,24 @@ def test_a_linear_model_keeps_no_coefficient_of_a_feature_without_training_row(s
     whole = coldstart.logistic_regression().fit(train)
     both = [{r.item: r.prediction for r in m.transform(test).collect()} for m in (model, whole)]
     assert np.mean([both[0][i] == both[1][i] for i in both[0]]) > 0.98
+
+
+def test_splits_reach_the_driver_as_arrays(rows, monkeypatch):
+    """No row object per split: a large forest has millions of them."""
+    collect, most = type(rows[0]).collect, []
+    monkeypatch.setattr(type(rows[0]), "collect", lambda self: (found := collect(self), most.append(len(found)))[0])
+    forests = sparse_forest.grow(rows[0], 4, 6)
+    assert max(most) == 1
+    for node, *rest in forests.trees.values():
+        assert len(node) > 3 and (np.diff(node) > 0).all() and {len(c) for c in rest} == {len(node)}
+        assert sum(c.itemsize for c in (node, *rest)) == 14
+
+
+def test_a_forest_is_saved_and_loaded(spark, rows, tmp_path):
+    train, test = rows
+    model = sparse_forest.ForestModel(sparse_forest.grow(train, 6, 5), 4, 3)
+    for _ in range(2):  # a second time it replaces the first
+        save_model(model, str(tmp_path / "forest"))
+    loaded = sparse_forest.ForestModel.load(spark, str(tmp_path / "forest"))
+    both = [{r.item: r.prediction for r in m.transform(test).collect()} for m in (model, loaded)]
+    assert both[0] == both[1] and (loaded.trees, loaded.depth) == (4, 3)

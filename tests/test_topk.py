@@ -209,3 +209,17 @@ def test_a_few_queries_are_broadcast_rather_than_all_items(spark):
     queries, vectors = asked.select(F.col("q").alias("query_id"), F.col("vec").alias("features")), items.select(F.col("x").alias("id"), F.col("vec").alias("features"))
     found = {how: sorted(map(tuple, topk.top_k(queries, vectors, 5, "l2", layout=how).collect())) for how in (None, "items")}
     assert found[None] == found["items"] and len(found[None]) == 50
+
+
+def test_items_move_once_per_large_block_of_queries(spark, vectors, small_blocks, monkeypatch):
+    """As many blocks as the lists that a task holds ask for, however few queries carry a bitmap at a time."""
+    monkeypatch.setattr(topk, "MASKED_QUERIES", 4)
+    monkeypatch.setattr(topk, "LEAST_QUERY_BLOCK", 1_000)
+    q, x = vectors
+    queries, items = frame(spark, "query_id", q), frame(spark, "id", x)
+    pairs = spark.createDataFrame([(i, j) for i in range(40) for j in range(0, 90, 7)], "query_id bigint, id bigint")
+    blocks, stream = [], topk.stream
+    monkeypatch.setattr(topk, "stream", lambda q, x, n_q, k, *a: blocks.append((n_q, k)) or stream(q, x, n_q, k, *a))
+    found = topk.top_k_unseen(queries, items, pairs, 5, "l2")
+    assert got(found) == brute(q, x, [5] * len(q), "l2", lambda i, j: j % 7 != 0)
+    assert blocks == [(40, 5 + 2)]  # two words of 64 items a query

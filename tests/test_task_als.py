@@ -1,7 +1,10 @@
 """Implicit ALS in a task: the equations, and the grids that use it."""
 
+import time
+
 import numpy as np
 
+from earshot import session
 from earshot.operators import models, task_als
 from earshot.operators.metrics import mean_average_precision
 from earshot.operators.recommend import recommend
@@ -59,3 +62,16 @@ def test_large_grids_keep_the_block_solver(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(models, "ROWS_PER_CORE", 1)
     models.grid_search(rows, rows, models.grid((2,), (0.1,), (1.0,)), store=str(tmp_path))
     assert asked == [True, False]
+
+
+def test_the_block_solver_lets_its_shuffles_go(spark, monkeypatch):
+    """Factors are written every other iteration, and the driver's garbage is collected while a fit runs."""
+    set_, freed = [], []
+    monkeypatch.setattr(session, "free_shuffles", lambda spark: freed.append(1))
+    monkeypatch.setattr(models.ALS, "fit", lambda self, train: set_.append(self.getCheckpointInterval()) or time.sleep(0.3))
+    with session.freeing_shuffles(spark, 0.05):
+        models.fit_als(spark.range(1), models.Params(2, 0.1, 1.0))
+    assert set_ == [models.CHECKPOINT_EVERY] and freed
+    n = len(freed)
+    time.sleep(0.2)
+    assert len(freed) == n

@@ -223,3 +223,16 @@ def test_items_move_once_per_large_block_of_queries(spark, vectors, small_blocks
     found = topk.top_k_unseen(queries, items, pairs, 5, "l2")
     assert got(found) == brute(q, x, [5] * len(q), "l2", lambda i, j: j % 7 != 0)
     assert blocks == [(40, 5 + 2)]  # two words of 64 items a query
+
+
+@pytest.mark.parametrize("held, pieces", [(12, 1), (100_000, 0)])  # a query a piece, and several tasks of one block
+def test_scanned_items_give_the_same_rows_and_are_not_moved(spark, vectors, small_blocks, monkeypatch, held, pieces):
+    q, x = vectors
+    monkeypatch.setattr(topk, "MOST_MOVED", 0)
+    monkeypatch.setattr(topk, "MOST_PIECES", 1 << 40)
+    monkeypatch.setattr(topk, "MAX_HELD_ROWS", held)
+    monkeypatch.setattr(topk, "MAX_SIDE_BYTES", 1)
+    monkeypatch.setattr(topk, "stream", lambda *a: pytest.fail("moves the items"))
+    found = topk.top_k(frame(spark, "query_id", q), frame(spark, "id", x), 3, "dot", layout="grid")
+    assert got(found) == brute(q, x, [3] * len(q), "dot")
+    assert "CartesianProduct" in found._jdf.queryExecution().executedPlan().toString()
